@@ -12,20 +12,12 @@ HEAD_CHARACTERS = 1500
 TITLE_MARKS = ["Title: ", "TITLE: "]
 TITLE_MARK_ANY_CASE = "title:"
 TITLE_MARK_WIDTH = 6
-TITLE_ENDS = [
-    "Author:",
-    "Release Date:",
-    "Release date:",
-    "Language:",
-    "EBook #",
-    "[eBook #",
-    "Posting Date:",
-    "\n",
-    "\r",
-]
+TITLE_LINE = (
+    r"(?s)^ ?(.*?)(?:Author:|Release Date:|Release date:|Language:|EBook #|\[eBook #|Posting Date:|\n|\r|\z)"
+)
 BANNERS = ["The Project Gutenberg eBook of", "The Project Gutenberg EBook of"]
 BANNER_WIDTH = 30
-BANNER_ENDS = ["\n", "This eBook"]
+BANNER_LINE = r"(?s)^(.*?)(?:This eBook|\n|\z)"
 UNTITLED_PREFIX = "Book #"
 
 
@@ -33,35 +25,27 @@ def head(text: Column) -> Column:
     return F.substring(text, 1, HEAD_CHARACTERS)
 
 
-def _find(text: Column, mark: str, start: Column | int = 1) -> Column:
-    """1-based position of a mark at or after ``start``, null if there is none."""
-    return F.nullif(F.position(F.lit(mark), text, F.lit(start)), F.lit(0))
+def _first_mark(text: Column, marks: list[str]) -> list[Column]:
+    """1-based place of each mark, null for one that does not occur."""
+    return [F.nullif(F.instr(text, F.lit(mark)), F.lit(0)) for mark in marks]
 
 
-def _between(text: Column, start: Column, ends: list[str]) -> Column:
-    """Trimmed text from ``start`` to the nearest of ``ends``, null if nothing is left."""
-    stop = F.least(F.length(text) + 1, *[_find(text, mark, start) for mark in ends])
-    return F.nullif(trim_control(text.substr(start, F.greatest(stop - start, F.lit(0)))), F.lit(""))
+def _rest(text: Column, start: Column) -> Column:
+    return text.substr(start, F.lit(HEAD_CHARACTERS))
 
 
 def title_from_head(text: Column) -> Column:
     """Title given in a header, or null.
 
     A ``Title:`` line wins over the e-book banner; within the former the spelling of the mark decides
-    before its position.
+    before its place. One comma at the end of the line is left out.
     """
-    marked = F.coalesce(
-        *[_find(text, mark) for mark in TITLE_MARKS], _find(F.lower(text), TITLE_MARK_ANY_CASE)
-    )
-    after = marked + TITLE_MARK_WIDTH
-    start = F.when(text.substr(after, F.lit(1)) == " ", after + 1).otherwise(after)
-    line = _between(text, start, TITLE_ENDS)
-    title = F.nullif(
-        F.when(line.endswith(","), trim_control(line.substr(F.lit(1), F.length(line) - 1))).otherwise(line),
-        F.lit(""),
-    )
-    banner = F.coalesce(*[_find(text, mark) for mark in BANNERS])
-    return F.coalesce(title, _between(text, banner + BANNER_WIDTH, BANNER_ENDS))
+    mark = F.coalesce(*_first_mark(text, TITLE_MARKS), *_first_mark(F.lower(text), [TITLE_MARK_ANY_CASE]))
+    line = trim_control(F.regexp_extract(_rest(text, mark + TITLE_MARK_WIDTH), TITLE_LINE, 1))
+    title = trim_control(F.regexp_replace(line, r",\z", ""))
+    banner = F.coalesce(*_first_mark(text, BANNERS))
+    name = trim_control(F.regexp_extract(_rest(text, banner + BANNER_WIDTH), BANNER_LINE, 1))
+    return F.coalesce(F.nullif(title, F.lit("")), F.nullif(name, F.lit("")))
 
 
 def untitled(doc_id: Column) -> Column:

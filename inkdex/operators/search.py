@@ -121,14 +121,14 @@ def _best(hits: DataFrame, top: int) -> DataFrame:
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
-    """``(query_id, term, weight, at, pattern)``: each distinct term of each query.
+    """``(query_id, term, weight, pos, pattern)``: each distinct term of each query.
 
     ``pattern`` finds the whole query as a phrase; it is null for a query of one token.
     """
     cut = queries.select("query_id", tokens(F.col("query")).alias("terms"))
     pattern = F.when(F.size("terms") > 1, phrase_pattern(F.col("terms")))
-    rows = cut.select("query_id", pattern.alias("pattern"), F.posexplode("terms").alias("at", "term"))
-    return rows.groupBy("query_id", "term", "pattern").agg(F.count(F.lit(1)).alias("weight"), F.min("at").alias("at"))
+    rows = cut.select("query_id", pattern.alias("pattern"), F.posexplode("terms").alias("pos", "term"))
+    return rows.groupBy("query_id", "term", "pattern").agg(F.count(F.lit(1)).alias("weight"), F.min("pos").alias("pos"))
 
 
 def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
@@ -141,14 +141,14 @@ def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
 
     candidates = _candidates(postings, leads, few_leads)
     weighted = F.col("tfidf") * F.col("weight")
-    part = F.named_struct(F.lit("at"), "at", F.lit("score"), weighted)
+    part = F.named_struct(F.lit("pos"), "pos", F.lit("score"), weighted)
     single = candidates.where("n_known = 1").select("query_id", "doc_id", weighted.alias("score"), "pattern")
 
     # Every other term of a candidate must be there too: look its posting up by term and document.
     pairs = candidates.where("n_known > 1").select(
         "query_id", "doc_id", "n_known", "pattern", part.alias("lead"), F.explode("others").alias("other")
     )
-    pairs = pairs.select("query_id", "doc_id", "n_known", "pattern", "lead", "other.term", "other.weight", "other.at")
+    pairs = pairs.select("query_id", "doc_id", "n_known", "pattern", "lead", "other.term", "other.weight", "other.pos")
     pairs, few_pairs = settle_sized(pairs, "pairs")
     if few_terms and not few_pairs:
         # The postings will be exchanged: leave out those of other terms before.
@@ -165,7 +165,7 @@ def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
 def _leads(terms: DataFrame, known: DataFrame) -> DataFrame:
     """One row per query that has a known term: its rarest term, and the others as a list."""
     rows = join_by_weight(terms, known, "term", "n_queries").select(
-        "query_id", "pattern", F.struct("df", "term", "weight", "at").alias("known")
+        "query_id", "pattern", F.struct("df", "term", "weight", "pos").alias("known")
     )
     # The list is as long as the query has terms.
     by_query = rows.groupBy("query_id", "pattern").agg(F.sort_array(F.collect_list("known")).alias("known"))

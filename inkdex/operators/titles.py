@@ -29,12 +29,14 @@ def found_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> Data
         missing = F.broadcast(missing)
     # An inner join keeps the cut below itself: only heads are exchanged, if anything is.
     heads = docs.select("doc_id", head(F.col("text")).alias("head")).join(missing, "doc_id")
-    return heads.select("doc_id", title_from_head(F.col("head")).alias("title")).where("title is not null")
+    found = heads.select("doc_id", title_from_head(F.col("head")).alias("title"))
+    # Stored before it is filtered, so that the extraction does not run once more in the filter.
+    return settle(found, "titles").where("title is not null")
 
 
 def resolve_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> DataFrame:
     """Results with a ``title`` for every row."""
-    found = settle(found_titles(results, titles, docs), "titles")
+    found = found_titles(results, titles, docs)
     named = lookup_titles(results, titles)
     both = named.join(found.withColumnRenamed("title", "found"), "doc_id", "left")
     return both.withColumn("title", F.coalesce("title", "found", untitled(F.col("doc_id")))).drop("found")

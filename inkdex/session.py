@@ -20,12 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without the setting; it then gets a temporary folder of its own,
     because driver and executors are one machine.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="inkdex-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="inkdex-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

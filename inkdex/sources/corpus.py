@@ -63,7 +63,7 @@ def corpus_manifest(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     return files.select(
         F.lit("FILE").alias("type"),
-        file_name(F.element_at(F.split("path", "/"), -1)).alias("name"),
+        F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("path"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import inkdex as ix
 from inkdex.functions.headers import head
 from inkdex.operators.search import query_terms as cut_queries
-from inkdex.session import new_folder
+from inkdex.session import new_folder, settle
 
 TESTDATA = "/root/testdata/sf0.001"
 
@@ -139,7 +139,7 @@ def normalized_tf(spark, sf_dir):
 def normalized_tf_by_parts(spark, sf_dir):
     """The document length is not at hand and has to be summed and joined."""
     turns = ix.read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id")
-    return _rounded(ix.normalize_tf(ix.term_frequencies(turns, whole=False)), "tf")
+    return _rounded(ix.normalize_tf(settle(ix.term_frequencies(turns, whole=False))), "tf")
 
 
 def document_frequency(spark, sf_dir):
@@ -163,7 +163,7 @@ def tfidf_index_small_n(spark, sf_dir):
 def tfidf_index_pages(spark, sf_dir):
     """Another corpus, with N as a one-row DataFrame, and no stored vocabulary."""
     pages = ix.read_table(spark, f"{sf_dir}/pages.parquet", "page_id", "html")
-    tf = ix.normalize_tf(ix.term_frequencies(pages))
+    tf = settle(ix.normalize_tf(ix.term_frequencies(pages)))
     return _rounded(ix.tfidf_index(tf, ix.count_documents(pages)), "tf", "idf", "tfidf")
 
 
@@ -171,7 +171,7 @@ def tfidf_index_preset(spark, sf_dir):
     """The corpus cut to its small size before indexing."""
     limit = ix.PRESETS["small"]
     docs = ix.first_documents(_documents(spark, sf_dir), limit)
-    tf = ix.normalize_tf(ix.term_frequencies(docs))
+    tf = settle(ix.normalize_tf(ix.term_frequencies(docs)))
     return _rounded(ix.tfidf_index(tf, ix.count_documents(docs)), "tf", "idf", "tfidf")
 
 

@@ -46,11 +46,13 @@ def normalize_tf(counts: DataFrame) -> DataFrame:
     """Stage 2: ``(doc_id, term, n, doc_len, tf)``.
 
     Where stage 1 carried the document length this is a projection. Otherwise the length is summed
-    from the counts and joined by document; a document of very many terms does not fall to one task.
+    from the counts, which should be a stored table, and joined by document; a document of very many
+    terms does not fall to one task.
     """
     if "doc_len" not in counts.columns:
         sums = counts.groupBy("doc_id").agg(F.sum("n").alias("doc_len"), F.count(F.lit(1)).alias("n_terms"))
-        counts = join_by_weight(counts, sums.where("doc_len <> 0"), "doc_id", "n_terms")
+        sums = settle(sums.where("doc_len <> 0"), "lengths")
+        counts = join_by_weight(counts, sums, "doc_id", "n_terms")
     tf = term_frequency(F.col("n"), F.col("doc_len"))
     return counts.select("doc_id", "term", "n", "doc_len", tf.alias("tf"))
 

@@ -1,31 +1,37 @@
-"""Join that stays even when a few keys hold most of the rows."""
+"""Joins that stay even when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkdex import session
+
 # A key counts as hot when it holds at least this share of all rows, so at most HOT_KEYS keys are
-# hot whatever the data. Their total key length is bounded in the same way: every hot key is stored
-# in at least 1/HOT_KEYS of the rows, so the hot keys together are no longer than HOT_KEYS average
-# keys.
+# hot whatever the data. Their total length is bounded in the same way: every hot key is stored in
+# at least one HOT_KEYS-th of the rows, so all of them together are no longer than HOT_KEYS keys of
+# average length.
 HOT_KEYS = 50_000
 
 
 def join_by_weight(rows: DataFrame, keyed: DataFrame, key: str, weight: str, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Inner join of ``rows`` with a table of one row per key.
+    """Inner join of ``rows`` with a stored table of one row per key.
 
     ``weight`` is a column of ``keyed``: how many of ``rows`` hold the key. Hot keys are joined by
     broadcast where their rows lie, so the rows of the commonest keys are not exchanged at all; the
     others go through an ordinary join in which no key holds more than one ``hot_keys``-th of the
-    rows. ``rows`` is read twice: give a stored table.
+    rows. ``rows`` is read twice then, so it should be a stored table too. If there are no more than
+    ``hot_keys`` keys in all, they are broadcast and ``rows`` is read once.
     """
-    total = keyed.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * hot_keys >= total
-    hot = F.broadcast(keyed.where(is_hot))
-    common = rows.join(hot, key)
-    rare = rows.join(F.broadcast(keyed.where(is_hot).select(key)), key, "left_anti")
-    return common.unionByName(rare.join(keyed.where(~is_hot), key))
+    length = F.sum(F.octet_length(F.col(key).cast("string")))
+    sizes = keyed.agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("keys"), length.alias("bytes")).first()
+    if sizes["keys"] <= hot_keys and (sizes["bytes"] or 0) <= session.BROADCAST_BYTES:
+        return rows.join(F.broadcast(keyed), key)
+    least = -(-sizes["total"] // hot_keys)
+    hot, cold = keyed.where(F.col(weight) >= least), keyed.where(F.col(weight) < least)
+    common = rows.join(F.broadcast(hot), key)
+    rare = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return common.unionByName(rare.join(cold, key))
 
 
 # Rows per side and key that one group of a join by blocks holds.

@@ -26,18 +26,19 @@ def match_offsets(docs: DataFrame, query: str | None) -> DataFrame:
     terms = split_terms(query)
     if not terms:
         return _offsets(docs.where(F.lit(False)), "$^")
-    regex = phrase_regex(terms)
-    return _offsets(docs.where(F.col("text").rlike(regex)), regex)
+    return _offsets(docs, phrase_regex(terms))
 
 
 def _offsets(docs: DataFrame, regex: str) -> DataFrame:
-    gaps = F.transform(F.split("text", regex), F.length).alias("gap")
-    found = F.regexp_extract_all("text", F.lit(regex), F.lit(0)).alias("matched")
-    cut = docs.select("doc_id", gaps, found).select(
-        "doc_id", F.size("matched").alias("n_matches"), F.arrays_zip("gap", "matched").alias("parts")
+    found = docs.select("doc_id", "text", F.regexp_extract_all("text", F.lit(regex), F.lit(0)).alias("matched"))
+    # A text without a match is not searched a second time.
+    gaps = F.when(F.size("matched") > 0, F.transform(F.split("text", regex), F.length)).alias("gap")
+    cut = found.select("doc_id", F.size("matched").alias("n_matches"), "matched", gaps).select(
+        "doc_id", "n_matches", F.arrays_zip("gap", "matched").alias("parts")
     )
-    # The text after the last match is a part without a match.
-    parts = cut.select("doc_id", "n_matches", F.posexplode("parts").alias("at", "part"))
+    # The text after the last match is a part without a match. The outer form keeps the optimizer
+    # from matching once more in an inferred filter.
+    parts = cut.select("doc_id", "n_matches", F.posexplode_outer("parts").alias("at", "part"))
     rows = parts.where("part.matched is not null").select("doc_id", "n_matches", "at", "part.gap", "part.matched")
     so_far = F.sum(F.col("gap") + F.length("matched")).over(_in_text_order())
     return rows.withColumn("end", so_far).select(

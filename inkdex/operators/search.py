@@ -15,8 +15,8 @@ from inkdex.session import settle, settle_sized
 # Fixed value: a phrase search shows this many matches, best scores first.
 PHRASE_LIMIT = 100
 
-# Postings of the rarest term of a query up to which they are broadcast, about 32 MB.
-BROADCAST_POSTINGS = 500_000
+# Postings of the rarest term of a query up to which they are broadcast: 64 MB for ids of 300 bytes.
+BROADCAST_POSTINGS = 200_000
 
 # Best candidates whose texts a phrase search looks up before it reads the whole corpus.
 PHRASE_PROBE = 10 * PHRASE_LIMIT
@@ -30,7 +30,8 @@ def best_first(results: DataFrame, *keys: str) -> DataFrame:
 def search(index: Index | DataFrame, query: str | None) -> DataFrame:
     """``(doc_id, score)`` of the documents that hold every known term of a query, best first.
 
-    Terms the index does not hold are ignored. A repeated term counts each time.
+    Terms the index does not hold are ignored. A repeated term counts each time. A ``limit`` on the
+    result takes the place of the full sort.
     """
     return best_first(_hits(Index.of(index), split_terms(query))[0])
 
@@ -76,7 +77,7 @@ def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None,
         return best_first(hits)
     texts = docs.select("doc_id", "text")
     regex = phrase_regex(terms)
-    hits = settle(hits.withColumn("pattern", F.lit(regex)), "hits")
+    hits, small = settle_sized(hits.withColumn("pattern", F.lit(regex)), "hits")
     probe = best_first(hits.drop("pattern")).limit(PHRASE_PROBE).collect()
     named = texts.where(F.col("doc_id").isin([row.doc_id for row in probe])).where(F.col("text").rlike(regex))
     scores = F.broadcast(docs.sparkSession.createDataFrame(probe, hits.drop("pattern").schema))
@@ -86,8 +87,7 @@ def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None,
         if found.count() < limit:
             # A stored column, not a literal: a literal test would be pushed below the join and run
             # on every text of the corpus.
-            candidates = F.broadcast(hits) if at_most <= BROADCAST_POSTINGS else hits
-            found = texts.join(candidates, "doc_id").where(F.expr("text rlike pattern")).select("doc_id", "score")
+            found = texts.join(F.broadcast(hits) if small else hits, "doc_id").where(F.expr("text rlike pattern")).select("doc_id", "score")
     return best_first(found).limit(limit)
 
 

@@ -40,8 +40,9 @@ def build_index(
     """Run one stage or all of them; each replaces its own folder below ``out``.
 
     ``source`` is the corpus for ``all`` and ``job1``, the token counts for ``job2``, and the
-    normalised frequencies for ``job3``, where ``n_docs`` has to be given. ``whole`` tells whether a
-    corpus row is a whole document, see ``term_frequencies``.
+    normalised frequencies for ``job3``, where ``n_docs`` has to be given. For ``all`` the documents
+    are counted if ``n_docs`` is not given. ``whole`` tells whether a corpus row is a whole document,
+    see ``term_frequencies``; if the count shows that documents have several rows, this is an error.
     """
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}, not {stage!r}")
@@ -52,6 +53,8 @@ def build_index(
         runs.append(_write_tokens(rows, f"{out}/{TOKENS}", whole))
         if stage == "all" and n_docs is None:
             n_docs = count_documents(source).first().n_docs
+            if whole and n_docs != runs[-1].records_in:
+                raise ValueError("documents have several rows, or no id: build with whole=False")
         rows = spark.read.parquet(f"{out}/{TOKENS}")
     if stage in ("all", "job2"):
         runs.append(_write_tf(rows, f"{out}/{TF}"))

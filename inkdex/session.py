@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -48,9 +49,18 @@ def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
 def settle_sized(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, bool]:
     """``settle``, and whether the table is small enough to broadcast.
 
-    The size is summed while the table is written, as the length of its rows in text form.
+    The size is summed while the table is written: the length of texts, of lists in text form, and
+    eight bytes for anything else.
     """
+
+    def width(field: T.StructField):
+        if isinstance(field.dataType, T.StringType):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
+        return F.lit(8)
+
     written = Observation()
-    width = F.octet_length(F.to_json(F.struct("*")))
-    stored = settle(df.observe(written, F.sum(width).alias("bytes")), purpose)
+    row = sum((width(field) for field in df.schema), F.lit(8)).cast("bigint")
+    stored = settle(df.observe(written, F.sum(row).alias("bytes")), purpose)
     return stored, (written.get["bytes"] or 0) <= BROADCAST_BYTES

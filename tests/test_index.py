@@ -108,6 +108,15 @@ def test_bad_arguments(spark, docs, tmp_path):
         ix.build_index(docs, str(tmp_path), "job3")
     with pytest.raises(ValueError):
         ix.build_index(docs.where(F.lit(False)), str(tmp_path))
+    with pytest.raises(ValueError):
+        ix.build_index(docs.union(docs), str(tmp_path))
+
+
+def test_build_from_lines(spark, corpus, tmp_path):
+    ix.build_index(ix.read_lines(spark, corpus), str(tmp_path), n_docs=3, whole=False)
+    index = ix.load_index(spark, str(tmp_path))
+    assert rows(index.postings, *COLUMNS) == GOLDEN
+    assert rows(index.vocabulary, "term", "df") == rows(ix.document_frequencies(index.postings))
 
 
 def test_index_is_laid_out_by_shard(spark, docs, tmp_path, monkeypatch):

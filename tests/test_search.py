@@ -137,6 +137,12 @@ def test_regex_runs_on_candidates_only(library, monkeypatch):
     """Where all candidates are tested, the test stays above the join with them."""
     docs, index, _ = library
     monkeypatch.setattr(search_module, "PHRASE_PROBE", 5)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
     plan = ix.phrase_search(index, docs, "a b", 100)._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join Inner" in line)
     assert "RLIKE" in join
+
+
+def test_best_of_a_query_is_cut_before_the_exchange(index, asked):
+    plan = ix.search_batch(index, asked, top=2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")

@@ -45,7 +45,7 @@ class Index:
 
     def postings_near(self, terms: DataFrame) -> DataFrame:
         """Postings of the directories that hold any term of a table; there are ``shards`` at most."""
-        if not self.shards:
+        if not self.shards or self.shards == 1:
             return self.postings
         used = terms.select(shard_of(F.col("term"), self.shards).alias("shard")).distinct().collect()
         return self.postings.where(F.col("shard").isin([row.shard for row in used]))

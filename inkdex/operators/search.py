@@ -78,17 +78,17 @@ def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None,
     texts = docs.select("doc_id", "text")
     regex = phrase_regex(terms)
     hits, small = settle_sized(hits.withColumn("pattern", F.lit(regex)), "hits")
-    probe = best_first(hits.drop("pattern")).limit(PHRASE_PROBE).collect()
-    named = texts.where(F.col("doc_id").isin([row.doc_id for row in probe])).where(F.col("text").rlike(regex))
-    scores = F.broadcast(docs.sparkSession.createDataFrame(probe, hits.drop("pattern").schema))
-    found = named.join(scores, "doc_id").select("doc_id", "score")
+    probe = best_first(hits).limit(PHRASE_PROBE).select("doc_id").collect()
+    named = F.col("doc_id").isin([row.doc_id for row in probe])
+    adjacent = texts.where(named).where(F.col("text").rlike(regex))
+    found = adjacent.join(F.broadcast(hits.where(named)), "doc_id")
     if len(probe) == PHRASE_PROBE:
-        found = settle(found, "found")
+        found = settle(found.select("doc_id", "score"), "found")
         if found.count() < limit:
             # A stored column, not a literal: a literal test would be pushed below the join and run
             # on every text of the corpus.
-            found = texts.join(F.broadcast(hits) if small else hits, "doc_id").where(F.expr("text rlike pattern")).select("doc_id", "score")
-    return best_first(found).limit(limit)
+            found = texts.join(F.broadcast(hits) if small else hits, "doc_id").where(F.expr("text rlike pattern"))
+    return best_first(found.select("doc_id", "score")).limit(limit)
 
 
 def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None = None) -> DataFrame:
@@ -96,7 +96,7 @@ def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None =
 
     With ``top`` only the best results of each query are kept, numbered by ``rank``.
     """
-    hits = _batch_hits(Index.of(index), queries).select("query_id", "doc_id", "score")
+    hits = _batch_hits(Index.of(index), queries)
     return best_first(hits if top is None else _best(hits, top), "query_id")
 
 
@@ -104,7 +104,7 @@ def phrase_search_batch(
     index: Index | DataFrame, docs: DataFrame, queries: DataFrame, limit: int = PHRASE_LIMIT
 ) -> DataFrame:
     """``phrase_search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``."""
-    hits, small = settle_sized(_batch_hits(Index.of(index), queries), "hits")
+    hits, small = settle_sized(_with_patterns(_batch_hits(Index.of(index), queries), queries), "hits")
     phrases = hits.where("pattern is not null")
     if small:
         phrases = F.broadcast(phrases)
@@ -114,6 +114,20 @@ def phrase_search_batch(
     return best_first(words.unionByName(best), "query_id")
 
 
+def _with_patterns(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """Hits with the pattern of their query as a phrase, null for a query of one token."""
+    cut = queries.select("query_id", tokens(F.col("query")).alias("terms"))
+    pattern = F.when(F.size("terms") > 1, phrase_pattern(F.col("terms"))).alias("pattern")
+    patterns, few = settle_sized(cut.select("query_id", pattern), "patterns")
+    if few:
+        return hits.join(F.broadcast(patterns), "query_id")
+    # A query may have most of the hits.
+    hits = settle(hits, "hits")
+    counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"))
+    patterns = settle(patterns.join(counts, "query_id"), "patterns")
+    return join_by_weight(hits, patterns, "query_id", "n_hits").drop("n_hits")
+
+
 def _best(hits: DataFrame, top: int) -> DataFrame:
     """The ``top`` best hits of each query; each partition keeps no more than that before the exchange."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
@@ -121,57 +135,60 @@ def _best(hits: DataFrame, top: int) -> DataFrame:
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
-    """``(query_id, term, weight, pos, pattern)``: each distinct term of each query.
-
-    ``pattern`` finds the whole query as a phrase; it is null for a query of one token.
-    """
+    """``(query_id, term, weight, pos)``: each distinct term of each query, with its first place."""
     cut = queries.select("query_id", tokens(F.col("query")).alias("terms"))
-    pattern = F.when(F.size("terms") > 1, phrase_pattern(F.col("terms")))
-    rows = cut.select("query_id", pattern.alias("pattern"), F.posexplode("terms").alias("pos", "term"))
-    return rows.groupBy("query_id", "term", "pattern").agg(F.count(F.lit(1)).alias("weight"), F.min("pos").alias("pos"))
+    rows = cut.select("query_id", F.posexplode("terms").alias("pos", "term"))
+    return rows.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"), F.min("pos").alias("pos"))
 
 
 def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score, pattern)``, unordered."""
-    terms = settle(query_terms(queries), "terms")
-    asked = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_queries"))
-    known, few_terms = settle_sized(asked.join(index.vocabulary.select("term", "df"), "term"), "known")
-    leads, few_leads = settle_sized(_leads(terms, known), "leads")
-    postings = index.postings_near(known).select("term", "doc_id", "tfidf")
+    """``(query_id, doc_id, score)``, unordered."""
+    terms, few_terms = settle_sized(query_terms(queries), "terms")
+    leads, few_leads = settle_sized(_leads(_known(index, terms, few_terms)), "leads")
+    postings = index.postings_near(terms).select("term", "doc_id", "tfidf")
 
     candidates = _candidates(postings, leads, few_leads)
     weighted = F.col("tfidf") * F.col("weight")
     part = F.named_struct(F.lit("pos"), "pos", F.lit("score"), weighted)
-    single = candidates.where("n_known = 1").select("query_id", "doc_id", weighted.alias("score"), "pattern")
+    single = candidates.where("n_known = 1").select("query_id", "doc_id", weighted.alias("score"))
 
     # Every other term of a candidate must be there too: look its posting up by term and document.
     pairs = candidates.where("n_known > 1").select(
-        "query_id", "doc_id", "n_known", "pattern", part.alias("lead"), F.explode("others").alias("other")
+        "query_id", "doc_id", "n_known", part.alias("lead"), F.explode("others").alias("other")
     )
-    pairs = pairs.select("query_id", "doc_id", "n_known", "pattern", "lead", "other.term", "other.weight", "other.pos")
+    pairs = pairs.select("query_id", "doc_id", "n_known", "lead", "other.term", "other.weight", "other.pos")
     pairs, few_pairs = settle_sized(pairs, "pairs")
     if few_terms and not few_pairs:
         # The postings will be exchanged: leave out those of other terms before.
-        postings = postings.join(F.broadcast(known.select("term")), "term", "left_semi")
+        postings = postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
     found = postings.join(F.broadcast(pairs) if few_pairs else pairs, ["term", "doc_id"])
-    parts = found.groupBy("query_id", "doc_id", "n_known", "pattern", "lead").agg(F.collect_list(part).alias("rest"))
+    parts = found.groupBy("query_id", "doc_id", "n_known", "lead").agg(F.collect_list(part).alias("rest"))
     # Scores are added in query order, so that equal documents have equal sums.
     in_order = F.sort_array(F.concat(F.array("lead"), "rest"))["score"]
     total = F.aggregate(in_order, F.lit(0.0), lambda done, score: done + score)
     complete = parts.where(F.size("rest") == F.col("n_known") - 1)
-    return single.unionByName(complete.select("query_id", "doc_id", total.alias("score"), "pattern"))
+    return single.unionByName(complete.select("query_id", "doc_id", total.alias("score")))
+
 
+def _known(index: Index, terms: DataFrame, few_terms: bool) -> DataFrame:
+    """Query terms that the index holds, with their document frequency."""
+    vocabulary = index.vocabulary.select("term", "df")
+    if few_terms:
+        return vocabulary.join(F.broadcast(terms), "term")
+    # A term may be in most of the queries.
+    asked = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_queries"))
+    known = settle(asked.join(vocabulary, "term"), "known")
+    return join_by_weight(terms, known, "term", "n_queries")
 
-def _leads(terms: DataFrame, known: DataFrame) -> DataFrame:
+
+def _leads(known: DataFrame) -> DataFrame:
     """One row per query that has a known term: its rarest term, and the others as a list."""
-    rows = join_by_weight(terms, known, "term", "n_queries").select(
-        "query_id", "pattern", F.struct("df", "term", "weight", "pos").alias("known")
-    )
+    rows = known.select("query_id", F.struct("df", "term", "weight", "pos").alias("known"))
     # The list is as long as the query has terms.
-    by_query = rows.groupBy("query_id", "pattern").agg(F.sort_array(F.collect_list("known")).alias("known"))
+    by_query = rows.groupBy("query_id").agg(F.sort_array(F.collect_list("known")).alias("known"))
     others = F.slice("known", F.lit(2), F.size("known")).alias("others")
-    leads = by_query.select("query_id", "pattern", F.size("known").alias("n_known"), F.col("known")[0].alias("rarest"), others)
-    return leads.select("query_id", "pattern", "n_known", "rarest.*", "others")
+    leads = by_query.select("query_id", F.size("known").alias("n_known"), F.col("known")[0].alias("rarest"), others)
+    return leads.select("query_id", "n_known", "rarest.*", "others")
 
 
 def _candidates(postings: DataFrame, leads: DataFrame, few_leads: bool) -> DataFrame:

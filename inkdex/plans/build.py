@@ -99,7 +99,8 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
     n_postings = terms.agg(F.sum("df")).first()[0] or 0
     shards = min(MAX_SHARDS, n_postings // SHARD_POSTINGS + 1)
-    groups = max(n_postings // shards // GROUP_POSTINGS, spark.sparkContext.defaultParallelism // shards) + 1
+    # A small index still has a few groups for every core.
+    groups = max(n_postings // GROUP_POSTINGS, 8 * spark.sparkContext.defaultParallelism) // shards + 1
 
     postings, written = _observed(tfidf_index(tf, n_docs, terms))
     postings = postings.withColumn("shard", shard_of(F.col("term"), shards))
@@ -108,8 +109,8 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     laid_out.sortWithinPartitions("shard", "term", "doc_id").write.partitionBy("shard").mode("overwrite").parquet(
         f"{out}/{POSTINGS}"
     )
-    layout = spark.createDataFrame([(n_docs, n_postings, shards)], "n_docs bigint, n_postings bigint, shards int")
-    layout.coalesce(1).write.mode("overwrite").parquet(f"{out}/{LAYOUT}")
+    settings = [F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(shards).alias("shards")]
+    spark.range(1).select(settings).coalesce(1).write.mode("overwrite").parquet(f"{out}/{LAYOUT}")
     return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
 
 

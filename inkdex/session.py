@@ -32,7 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_dir(spark)}/{purpose}-{uuid4().hex}"
+    """A new path, below one folder per application, which can be removed when that has ended."""
+    return f"{shared_dir(spark)}/inkdex-{spark.sparkContext.applicationId}/{purpose}-{uuid4().hex}"
 
 
 def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:

@@ -43,9 +43,18 @@ class Index:
             rows = rows.where(F.col("shard").isin([shard_of(F.lit(t), self.shards) for t in terms]))
         return rows
 
-    def postings_near(self, terms: DataFrame) -> DataFrame:
-        """Postings of the directories that hold any term of a table; there are ``shards`` at most."""
-        if not self.shards or self.shards == 1:
-            return self.postings
-        used = terms.select(shard_of(F.col("term"), self.shards).alias("shard")).distinct().collect()
-        return self.postings.where(F.col("shard").isin([row.shard for row in used]))
+    def postings_near(self, terms: DataFrame, few_terms: bool) -> DataFrame:
+        """At least the postings of the terms of a stored table.
+
+        Only the directories of these terms are listed, there are ``shards`` of them at most. If the
+        terms fit a broadcast, the rows of others are dropped as they are read, by hash: a join by a
+        number is several times as fast as one by a text, and few rows are left for the latter.
+        """
+        rows = self.postings
+        if self.shards and self.shards > 1:
+            used = terms.select(shard_of(F.col("term"), self.shards).alias("shard")).distinct().collect()
+            rows = rows.where(F.col("shard").isin([row.shard for row in used]))
+        if few_terms:
+            hashes = F.broadcast(terms.select(F.xxhash64("term").alias("term_hash")).distinct())
+            rows = rows.join(hashes, F.xxhash64("term") == F.col("term_hash"), "left_semi")
+        return rows

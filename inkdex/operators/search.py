@@ -145,7 +145,7 @@ def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
     """``(query_id, doc_id, score)``, unordered."""
     terms, few_terms = settle_sized(query_terms(queries), "terms")
     leads, few_leads = settle_sized(_leads(_known(index, terms, few_terms)), "leads")
-    postings = index.postings_near(terms).select("term", "doc_id", "tfidf")
+    postings = index.postings_near(terms, few_terms).select("term", "doc_id", "tfidf")
 
     candidates = _candidates(postings, leads, few_leads)
     weighted = F.col("tfidf") * F.col("weight")
@@ -158,9 +158,6 @@ def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
     )
     pairs = pairs.select("query_id", "doc_id", "n_known", "lead", "other.term", "other.weight", "other.pos")
     pairs, few_pairs = settle_sized(pairs, "pairs")
-    if few_terms and not few_pairs:
-        # The postings will be exchanged: leave out those of other terms before.
-        postings = postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
     found = postings.join(F.broadcast(pairs) if few_pairs else pairs, ["term", "doc_id"])
     parts = found.groupBy("query_id", "doc_id", "n_known", "lead").agg(F.collect_list(part).alias("rest"))
     # Scores are added in query order, so that equal documents have equal sums.

@@ -12,6 +12,14 @@ from inkdex.functions.headers import head
 from inkdex.operators.search import query_terms as cut_queries
 from inkdex.session import new_folder, settle
 
+try:
+    import corpus_pipeline
+    import inkdex.llm.queries as llm
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline are optional
+    if missing.name not in ("corpus_pipeline", "inkdex.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 TESTDATA = "/root/testdata/sf0.001"
 
 # Derived data is stored once per application and input folder, as a user would build an index once
@@ -394,7 +402,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "phrase_search": _phrase("of the"),
         "phrase_search_quoted": _phrase('"and of the"'),
         "phrase_search_single": _phrase('"license"'),
-    }
+    } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 # SQL building blocks: tokens, counts, lengths, frequencies, and the index of a table of texts.
@@ -591,4 +599,4 @@ def oracle_sql() -> dict[str, str]:
             FROM offsets WINDOW w AS (PARTITION BY doc_id ORDER BY match_no)""",
         "match_spans": f"""WITH {of_the} SELECT doc_id, string_agg(start || '-' || "end", ',' ORDER BY match_no) AS spans
             FROM offsets GROUP BY doc_id""",
-    }
+    } | (llm.oracle_sql() if llm else {})

@@ -29,7 +29,8 @@ def remainder(doc_id: Column, divisor: int) -> Column:
 
 
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

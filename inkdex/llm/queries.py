@@ -4,24 +4,102 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import simhash
+from inkdex.llm import bpe, digests, redirects, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = digests.compare_with_next(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        F.lower(F.hex("digest")).alias("fingerprint"),
+        F.lower(F.hex("edited_digest")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+# The rules of the query, each a verdict and the start of an address.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op5_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = redirects.url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_classes(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op10_simhash,)}
+    return {query.__name__: query for query in (op4_digests, op5_redirects, op9_bpe, op10_simhash)}
+
+
+def _redirects_sql() -> str:
+    """Labels spread along links by a recursive query; the longest rule by a sort."""
+    rules = ", ".join(f"('{v}', '{r}', '{r.split('/')[0]}', '/{r.split('/', 1)[1]}')" for v, r in URL_RULES)
+
+    def rest(url: str) -> str:
+        return f"CASE WHEN contains({url}, '://') THEN regexp_extract({url}, '(?s)^.*?://(.*)$', 1) ELSE '' END"
+
+    def ruled(table: str, key: str) -> str:
+        return f"""SELECT {key}, arg_max(rule, (length(rule), verdict = 'allow')) AS rule,
+            arg_max(verdict, (length(rule), verdict = 'allow')) AS verdict
+            FROM {table} JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY {key}"""
+
+    return f"""WITH RECURSIVE rules(verdict, rule, rule_host, rule_path) AS (VALUES {rules}),
+    rests AS (SELECT row_number() OVER () AS id, page_id, url, html, {rest('url')} AS rest FROM pages),
+    rows AS (
+        SELECT id, page_id, url, html, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+            CASE WHEN contains(url, '://') THEN lower(regexp_extract(url, '(?s)^(.*?)://', 1)) || '://'
+                || lower(regexp_extract(rest, '^[^/?#]*')) || regexp_extract(rest, '(?s)^[^/?#]*([^#]*)', 1) END AS node
+        FROM rests),
+    tags AS (
+        SELECT node, unnest(regexp_extract_all(html, '(?is)<link\\b[^>]*>')) AS tag FROM rows WHERE node IS NOT NULL),
+    links AS (
+        SELECT node AS a, regexp_extract(tag, '(?i)\\bhref\\s*=\\s*"([^"]*)"', 1) AS b FROM tags
+        WHERE regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?canonical')),
+    edges AS (SELECT a, b FROM links WHERE contains(b, '://') UNION SELECT b, a FROM links WHERE contains(b, '://')),
+    reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+    places AS (
+        SELECT DISTINCT b AS node, lower(regexp_extract({rest('b')}, '^[^/?#]*')) AS host,
+            regexp_extract({rest('b')}, '^[^/?#]*([^?#]*)', 1) AS path FROM reach),
+    place_rules AS ({ruled('places', 'node')}),
+    groups AS (SELECT a AS node, min(verdict) AS verdict FROM reach JOIN place_rules ON b = node GROUP BY a),
+    own AS ({ruled('rows', 'id')})
+    SELECT page_id, host, path, own.rule, coalesce(own.verdict, groups.verdict, 'allow') AS verdict
+    FROM rows LEFT JOIN own USING (id) LEFT JOIN groups USING (node)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_redirects": _redirects_sql()}

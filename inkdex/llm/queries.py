@@ -8,13 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, digests, redirects, simhash
+from inkdex.llm import bpe, digests, redirects, simhash, toxicity
+from inkdex.llm.common import remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    learned = labels.where(remainder(F.col("doc_id"), 5) != 0).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.fit(docs, learned))
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = digests.compare_with_next(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -60,7 +69,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op4_digests, op5_redirects, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op4_digests, op5_redirects, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

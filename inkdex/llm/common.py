@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,13 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that little is held in Python at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected edges (a, b): one row (node, component) per node.
 
@@ -84,3 +93,22 @@ def components(edges: DataFrame) -> DataFrame:
         roots = settle(join_by_weight(move.select("node", "to"), settle(keyed, "roots"), "to", "rows").select("node", "root"), "roots")
     smallest = roots.groupBy("root").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("rows"))
     return join_by_weight(roots, settle(smallest, "smallest"), "root", "rows").select("node", "component")
+
+
+def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
+    """``df`` with a bigint column ``number``: 0, 1, ... by ``order``, equal rows in any order.
+
+    A sort by range; only one count per partition is collected.
+    """
+    low = (1 << 33) - 1  # monotonically_increasing_id counts within a partition below this bit
+    at = F.monotonically_increasing_id().alias("_at")
+    rows = settle(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", at), "sorted")
+    part = F.shiftright("_at", 33).cast("int").alias("_part")
+    counts = sorted((r["_part"], r["count"]) for r in rows.groupBy(part).count().collect())
+    offsets, total = [], 0
+    for number, count in counts:
+        offsets.append((number, total))
+        total += count
+    offsets = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint"))
+    place = (F.col("_offset") + F.col("_at").bitwiseAND(F.lit(low))).alias("number")
+    return rows.withColumn("_part", part).join(offsets, "_part").select(*df.columns, place)

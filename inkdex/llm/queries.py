@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, digests, redirects, simhash, toxicity
+from inkdex.llm import bpe, digests, mixing, redirects, simhash, toxicity
 from inkdex.llm.common import remainder
 
 
@@ -52,6 +52,11 @@ def op5_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents")).documents
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
@@ -69,7 +74,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op4_digests, op5_redirects, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op4_digests, op5_redirects, op7_mixing, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, digests, mixing, redirects, simhash, toxicity
+from inkdex.llm import bpe, digests, mixing, ppm, redirects, simhash, toxicity
 from inkdex.llm.common import remainder
 
 
@@ -24,6 +24,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scored = ppm.score_texts(_table(spark, sf_dir, "documents"), ~held_out)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), *columns)
+
+
 def op4_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = digests.compare_with_next(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -74,7 +81,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op4_digests, op5_redirects, op7_mixing, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op7_mixing, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

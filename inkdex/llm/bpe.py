@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of
+from inkdex.llm.common import batch_of, slices
 
 # Fixed values of the byte-level format: the pattern that splits texts, with white space and the
 # printable characters that stand for themselves.
@@ -27,6 +28,8 @@ REMEMBERED = 400_000
 
 NO_RANK = 1 << 60
 
+_ID = np.dtype(np.int32)
+
 
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in the vocabulary: itself, or one from U+0100 on."""
@@ -42,16 +45,21 @@ class ByteBPE:
         spec = json.loads(source)
         vocab, letters = spec["model"]["vocab"], byte_letters()
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: bytes(map(letters.__getitem__, token)) for token, i in vocab.items() if token not in self.specials}
+        own = {i: bytes(map(letters.__getitem__, token)) for token, i in vocab.items() if token not in self.specials}
+        self.bytes_of = defaultdict(bytes, own)
         self.bytes_of |= {i: content.encode() for content, i in self.specials.items()}
         self.first = [vocab[letter] for letter, _ in sorted(letters.items(), key=lambda x: x[1])]
-        merges = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        # Merges by pair of ids: the rank in the high bits, the merged id in the low ones.
-        self.pairs = {(vocab[a], vocab[b]): rank << 20 | vocab[a + b] for rank, (a, b) in enumerate(merges)}
+        self._vocab, self._merges = vocab, spec["model"]["merges"]
         self.split = regex.compile(SPLIT_PATTERN)
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
         self.known = _Pieces(self)
 
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], int]:
+        """Merges by pair of ids: the rank in the high bits, the merged id in the low ones."""
+        vocab, merges = self._vocab, (m if isinstance(m, list) else m.split(" ") for m in self._merges)
+        return {(vocab[a], vocab[b]): rank << 20 | vocab[a + b] for rank, (a, b) in enumerate(merges)}
+
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: the pair of the lowest rank, leftmost first, becomes one part, until none is left."""
         parts = [self.first[b] for b in piece]
@@ -89,34 +97,34 @@ class ByteBPE:
                     heappush(heap, (r, left))
         return [p for p in parts if p >= 0]
 
-    def _plain(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.known.__getitem__, self.split.findall(text)))
-
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, special tokens included, as 32-bit numbers."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
+        known, split = self.known.__getitem__, self.split.findall
         if not self.specials or not self.special.search(text):
-            return list(self._plain(text))
-        ids, at = [], 0
+            return np.frombuffer(b"".join(map(known, split(text))), _ID)
+        parts, at = [], 0
         for found in self.special.finditer(text):
-            ids.extend(self._plain(text[at : found.start()]))
-            ids.append(self.specials[found[0]])
+            parts.extend(map(known, split(text[at : found.start()])))
+            parts.append(_ID.type(self.specials[found[0]]).tobytes())
             at = found.end()
-        return ids + list(self._plain(text[at:]))
+        parts.extend(map(known, split(text[at:])))
+        return np.frombuffer(b"".join(parts), _ID)
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids; bytes that are not UTF-8 become U+FFFD, unknown ids nothing."""
-        return b"".join(self.bytes_of.get(i, b"") for i in ids).decode("utf-8", "replace")
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 class _Pieces(dict):
-    """Ids of pieces, merged when first asked for."""
+    """Ids of pieces as bytes of 32-bit numbers, merged when first asked for."""
 
     def __init__(self, bpe: ByteBPE) -> None:
         self.bpe = bpe
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self[piece] = tuple(self.bpe.merge(piece.encode()))
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = np.array(self.bpe.merge(piece.encode()), _ID).tobytes()
         return ids
 
 
@@ -151,10 +159,10 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             encoded = [bpe.encode(t.as_py() or "") for t in batch.column("text")]
             offsets = np.concatenate(([0], np.cumsum([len(e) for e in encoded]))).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(encoded), np.int32, int(offsets[-1]))
+            flat = np.concatenate(encoded) if encoded else np.empty(0, _ID)
             yield batch_of(_ENCODED, [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -167,8 +175,8 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(shared.value)
-        for batch in batches:
-            texts = [bpe.decode(ids.as_py() or []) for ids in batch.column("ids")]
+        for batch in slices(batches):
+            texts = [bpe.decode(ids.values.to_numpy().tolist() if ids.is_valid else []) for ids in batch.column("ids")]
             yield batch_of(_DECODED, [batch.column("doc_id"), batch.column("ids"), texts])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of
+from inkdex.llm.common import batch_of, slices
 from inkdex.session import settle
 
 BUCKETS = 512
@@ -61,7 +61,7 @@ def digests(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(doc_id, digest) per row of ``docs``; a null text is empty, repeated rows stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch_of(_DIGESTS, [batch.column("doc_id"), [digest(t.as_py(), buckets) for t in batch.column("text")]])
 
     return _rows(docs).mapInArrow(run, "doc_id bigint, digest binary")
@@ -120,7 +120,7 @@ def compare_with_next(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last = TaskContext.get().partitionId(), None
-        for batch in batches:
+        for batch in slices(batches):
             done = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = digest(text, buckets)
@@ -142,7 +142,7 @@ def compare_with_next(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     firsts = stored.where("end = 0").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
 
     def over_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text, later in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 made = _compared(doc_id, text, digest(text, buckets), later, digest(later, buckets), buckets)
                 yield batch_of(_COMPARED, [[v] for v in made])

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of, components, words_of
+from inkdex.llm.common import batch_of, components, slices, words_of
 from inkdex.operators.joins import join_by_weight
 from inkdex.session import settle
 
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
     """(doc_id, fp) per row of ``docs``; fp holds the 64 bits as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = [fingerprint(t.as_py(), shingle_words, seed) for t in batch.column("text")]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
             yield batch_of(_FINGERPRINTS, [batch.column("doc_id"), signed])

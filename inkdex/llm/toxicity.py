@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of
+from inkdex.llm.common import batch_of, slices
 
 _WORD = re.compile(r"\w+")
 
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labelled: DataFrame, settings: Settings = Settings()) -
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, seen = Features(settings), []
-        for batch in batches:
+        for batch in slices(batches):
             for place, label, text in zip(*batch.columns, strict=True):
                 found = np.unique(features.places(text.as_py())).astype(np.int32)
                 seen.append((place.as_py(), label.as_py(), np.append(found, np.int32(1 << settings.bits))))
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value.scorer()
-        for batch in batches:
+        for batch in slices(batches):
             yield batch_of(_SCORES, [batch.column("doc_id"), [scorer(t.as_py()) for t in batch.column("text")]])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, digests, mixing, ppm, redirects, simhash, toxicity
+from inkdex.llm import bpe, covertree, digests, mixing, ppm, redirects, simhash, toxicity
 from inkdex.llm.common import remainder
 
 
@@ -64,6 +64,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     found = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer)
@@ -81,7 +85,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op7_mixing, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

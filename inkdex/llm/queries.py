@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, covertree, digests, mixing, ppm, redirects, simhash, toxicity
+from inkdex.llm import bpe, covertree, digests, extraction, mixing, ppm, redirects, simhash, toxicity
 from inkdex.llm.common import remainder
 
 
@@ -59,6 +59,12 @@ def op5_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = extraction.extract(pages, extraction.fit(pages))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents")).documents
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -85,7 +91,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op6_extraction, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

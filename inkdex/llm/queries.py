@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, covertree, digests, extraction, mixing, ppm, redirects, simhash, toxicity
+from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, simhash, toxicity
 from inkdex.llm.common import remainder
+from inkdex.session import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,14 @@ def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), *columns)
 
 
+def op3_idcoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_folder(spark, "ids")
+    idcoder.write_ids(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, out)
+    found = idcoder.read_ids(spark, out, with_ids=False)
+    started = found.join(idcoder.segment_starts(spark, out), ["part", "segment"])
+    return started.select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op4_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = digests.compare_with_next(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -91,7 +100,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op4_digests, op5_redirects, op6_extraction, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
+    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op3_idcoder, op4_digests, op5_redirects, op6_extraction, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
 
 
 def _redirects_sql() -> str:

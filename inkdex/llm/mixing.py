@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from inkdex.llm.common import batch_of, count_words, numbered
 from inkdex.operators.joins import join_by_weight
-from inkdex.session import settle
+from inkdex.session import settle, settle_sized
 
 # Weights of the sources in the order of their names, repeating.
 WEIGHTS = (1, 2, 3)
@@ -198,3 +198,20 @@ def mix(
     result = placed.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("bigint"))
     columns = ["doc_id", "tag", "source", "size", "source_size", "target", "taken"]
     return Mix(result.select(*columns), schedule, sources)
+
+
+def repeat_taken(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes its words.
+
+    The number is rounded, but is one at least where a word is taken; rows of which none is taken go,
+    rows without words stay once. Rows equal in id and text share what is taken of them evenly.
+    """
+    mixed = mix(docs, **settings).documents.groupBy("doc_id", "tag")
+    mixed = mixed.agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    times = F.when(F.col("size") == 0, 1).when(F.col("taken") == 0, 0)
+    times = times.otherwise(F.greatest(F.round(F.col("taken") / F.greatest("size", F.lit(1))), F.lit(1))).cast("int")
+    mixed = mixed.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), times.alias("_times"))
+    mixed, small = settle_sized(mixed, "times")
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_tag(settings.get("seed", SEED)) == F.col("_tag"))
+    joined = docs.join(F.broadcast(mixed) if small else mixed, own).where("_times > 0")
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*(docs[c] for c in docs.columns))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from inkdex.llm.common import batch_of, components, slices, words_of
 from inkdex.operators.joins import join_by_weight
-from inkdex.session import settle
+from inkdex.session import settle, settle_sized
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -45,20 +45,25 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-_FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("fp", pa.int64())])
+
+
+def _tag() -> Column:
+    """With doc_id, tells the texts of one id apart."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) per row of ``docs``; fp holds the 64 bits as a signed number."""
+    """(doc_id, tag, fp) per row of ``docs``; fp holds the 64 bits as a signed number, tag hashes the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values = [fingerprint(t.as_py(), shingle_words, seed) for t in batch.column("text")]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
-            yield batch_of(_FINGERPRINTS, [batch.column("doc_id"), signed])
+            yield batch_of(_FINGERPRINTS, [batch.column("doc_id"), batch.column("tag"), signed])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), _tag().alias("tag"), F.col("text").cast("string").alias("text")]
+    return docs.select(*columns).mapInArrow(run, "doc_id bigint, tag bigint, fp bigint")
 
 
 def _linked(one: np.uint64, many: np.ndarray, max_bits: int) -> np.ndarray:
@@ -161,10 +166,10 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
 
 
 def simhash_classes(docs: DataFrame, max_bits: int = MAX_BITS, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp, component_id) per row of ``docs``.
+    """(doc_id, tag, fp, component, component_id) per row of ``docs``.
 
     Documents of one fingerprint are one class; classes within ``max_bits`` of each other are linked.
-    ``component_id`` is the smallest doc_id that links reach. Null and empty texts have the
+    ``component`` is the smallest fingerprint and ``component_id`` the smallest doc_id that links reach. Null and empty texts have the
     fingerprint 0 and are linked like any other; repeated rows stay; a row without an id keeps its
     fingerprint and gets the smallest id of its component, null if that has none; an empty table
     gives no rows. Columns other than doc_id and text are not read.
@@ -177,8 +182,30 @@ def simhash_classes(docs: DataFrame, max_bits: int = MAX_BITS, shingle_words: in
     named = classes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     sizes = named.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     named = join_by_weight(settle(named, "classes"), settle(sizes, "components"), "component", "classes")
-    named = settle(named.select("fp", "rows", "component_id"), "classes")
-    return join_by_weight(rows, named, "fp", "rows").select("doc_id", "fp", "component_id")
+    named = settle(named.select("fp", "rows", "component", "component_id"), "classes")
+    return join_by_weight(rows, named, "fp", "rows").select("doc_id", "tag", "fp", "component", "component_id")
+
+
+def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``simhash_classes`` makes the first of their group.
+
+    That is the row of the smallest doc_id of each component; a row without an id only if its component has
+    none. Of several such rows in a component, one stays, that of the smallest hash of its text.
+    """
+    found = settle(simhash_classes(docs, max_bits), "found")
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component", "doc_id").agg(F.min("tag").alias("tag"))
+    rows = found.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"))
+    first = first.select(F.col("doc_id").alias("first_id"), F.col("tag").alias("first_tag"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tag") == F.col("first_tag"))
+    kept = rows.join(first.distinct(), same, "left")
+    marks = kept.select("doc_id", "tag", "rows", F.col("first_tag").isNotNull().alias("kept")).where("NOT kept OR rows > 1")
+    marks, small = settle_sized(marks.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "kept"), "marks")
+    if small:
+        marks = F.broadcast(marks)
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (_tag() == F.col("_tag"))
+    plain = docs.join(marks, own, "left_anti")
+    repeated = docs.join(marks.where("kept"), own, "left_semi")
+    return plain.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
 
 
 def hex_fingerprint(fp: Column) -> Column:

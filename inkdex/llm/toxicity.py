@@ -178,3 +178,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, score double")
+
+
+def keep_clean(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores below ``least``.
+
+    The text goes to the model and comes back with the other columns, whatever they are, in one pass.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = shared.value.scorer()
+        for batch in slices(batches):
+            yield batch.filter(pa.array([scorer(t.as_py()) < least for t in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -62,18 +62,21 @@ def address(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), host_of(url), tail))
 
 
-def _resolved(link: Column, url: Column) -> Column:
-    """A link of a page as an absolute address."""
-    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
-    root = F.concat(scheme, F.lit("://"), host_of(url))
-    folder = F.regexp_extract(path_of(url), r"(?s)^(.*/)", 1)
-    return (
+def _resolved(pages: DataFrame) -> DataFrame:
+    """``pages`` (url, link) with the column ``target``, the link as an absolute address; null if it is none."""
+    link = F.col("link")
+    parts = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    parts = parts.withColumn("scheme", F.regexp_extract("url", r"(?s)^(.*?)://", 1))
+    parts = parts.withColumn("folder", F.regexp_extract("path", r"(?s)^(.*/)", 1))
+    root = F.concat("scheme", F.lit("://"), "host")
+    target = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
+        .when(link.startswith("//"), F.concat("scheme", F.lit(":"), link))
         .when(link.startswith("/"), F.concat(root, link))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | link.startswith("#"), F.lit(None))
-        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), link))
+        .otherwise(F.concat(root, F.when(F.col("folder") == "", "/").otherwise(F.col("folder")), link))
     )
+    return parts.withColumn("target", target)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -91,8 +94,9 @@ def page_links(pages: DataFrame) -> DataFrame:
     tags = pages.select("url", F.explode(F.concat(canonical, refresh)).alias("found")).select("url", "found.*")
     target = F.trim(F.when(F.col("link"), href).otherwise(F.regexp_extract("tag", _TARGET, 1)))
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
-    links = tags.select("url", target.alias("target")).where("target <> ''")
-    links = links.select(address(F.col("url")).alias("a"), address(_resolved(F.col("target"), F.col("url"))).alias("b"))
+    links = tags.where(F.instr("url", "://") > 0).select("url", target.alias("link")).where("link <> ''")
+    # Steps of their own keep long expressions from being written out within each other.
+    links = _resolved(links).select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b"))
     return links.where("a IS NOT NULL AND b IS NOT NULL")
 
 
@@ -114,9 +118,8 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]], redirects: Data
     if redirects is not None:
         edges = edges.unionByName(redirects.select(address(F.col("from_url")).alias("a"), address(F.col("to_url")).alias("b")))
     aliases = components(edges)
-    node = F.col("node")
-    decided = rule_of(host_of(node), path_of(node), rules)[1]
-    groups = aliases.withColumn("decided", decided)
+    groups = aliases.withColumns({"host": host_of(F.col("node")), "path": path_of(F.col("node"))})
+    groups = groups.withColumn("decided", rule_of(F.col("host"), F.col("path"), rules)[1])
     groups = settle(groups.select("node", "component", "decided"), "aliases")
     ruled = groups.groupBy("component").agg(
         F.min("decided").alias("group_verdict"), F.count(F.lit(1)).alias("nodes")

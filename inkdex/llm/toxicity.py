@@ -29,7 +29,7 @@ class Settings:
     skips: tuple[int, ...] = (1, 2, 3)
     alpha: float = 1.0
     beta: float = 1.0
-    l1: float = 6.0
+    l1: float = 8.0
     l2: float = 0.0
     epochs: int = 4
     max_rows: int = 20_000
@@ -68,24 +68,25 @@ class Features:
 
 
 class Ftrl:
-    """Follow the regularized leader, with a learning rate per coordinate; the last coordinate is the bias."""
+    """Follow the regularized leader, with a learning rate per coordinate.
+
+    The bias is the log-odds of the labels and stays so: a text of unknown features is as toxic as any.
+    """
 
     def __init__(self, settings: Settings, positive: int, rows: int) -> None:
         self.s = settings
-        size = (1 << settings.bits) + 1
-        self.z, self.n = np.zeros(size), np.zeros(size)
-        self.prior = math.log((positive + 0.5) / (rows - positive + 1.5))
+        self.z, self.n = np.zeros(1 << settings.bits), np.zeros(1 << settings.bits)
+        self.bias = math.log((positive + 0.5) / (rows - positive + 1.5))
 
     def weights(self, places: np.ndarray) -> np.ndarray:
-        """Zero where the evidence has not passed l1, but for the bias, which is not held back."""
+        """Zero where the evidence has not passed l1."""
         s, z = self.s, self.z[places]
-        least = np.where(places == len(self.z) - 1, 0.0, s.l1)
-        kept = np.maximum(np.abs(z) - least, 0.0) * -np.sign(z)
+        kept = np.maximum(np.abs(z) - s.l1, 0.0) * -np.sign(z)
         return kept / ((s.beta + np.sqrt(self.n[places])) / s.alpha + s.l2)
 
     def learn(self, places: np.ndarray, label: int) -> None:
         w = self.weights(places)
-        gap = sigmoid(self.prior + w.sum()) - label
+        gap = sigmoid(self.bias + w.sum()) - label
         n = self.n[places]
         self.z[places] += gap - (np.sqrt(n + gap * gap) - np.sqrt(n)) / self.s.alpha * w
         self.n[places] = n + gap * gap
@@ -141,24 +142,21 @@ def fit(docs: DataFrame, labelled: DataFrame, settings: Settings = Settings()) -
         for batch in slices(batches):
             for place, label, text in zip(*batch.columns, strict=True):
                 found = np.unique(features.places(text.as_py())).astype(np.int32)
-                seen.append((place.as_py(), label.as_py(), np.append(found, np.int32(1 << settings.bits))))
+                seen.append((place.as_py(), label.as_py(), found))
         seen.sort(key=lambda row: (row[0], row[2].tobytes()))
         model = Ftrl(settings, sum(row[1] for row in seen), len(seen))
         for _ in range(settings.epochs):
             for _, label, found in seen:
                 model.learn(found, label)
-        everywhere = np.arange(len(model.z))
-        weights = model.weights(everywhere)
-        weights[-1] += model.prior
+        weights = model.weights(np.arange(len(model.z)))
         kept = np.flatnonzero(weights)
-        yield batch_of(_WEIGHTS, [kept, weights[kept]])
+        yield batch_of(_WEIGHTS, [[-1, *kept], [model.bias, *weights[kept]]])  # place -1: the bias
 
     trained = rows.repartition(1).mapInArrow(train, "place bigint, weight double").toPandas()
     trained = trained.sort_values("place")
     places, values = trained["place"].to_numpy(), trained["weight"].to_numpy()
-    own = places < 1 << settings.bits
-    bias = float(values[~own].sum()) if len(values) else math.log(0.5 / 1.5)
-    return Model(settings, places[own], values[own].astype(np.float32), bias)
+    bias = float(values[0]) if len(values) else math.log(0.5 / 1.5)
+    return Model(settings, places[1:], values[1:].astype(np.float32), bias)
 
 
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import inkdex as ix
-from inkdex.functions.headers import head
+from inkdex.functions.headers import head, untitled
+from inkdex.functions.text import doc_id_from_file_name
 from inkdex.operators.search import query_terms as cut_queries
 from inkdex.session import new_folder, settle
 
@@ -251,8 +252,7 @@ def manifest(spark, sf_dir):
 
 
 def run_counters(spark, sf_dir):
-    runs = [(r.stage, r.records_in, r.records_out) for r in _built(spark, sf_dir)[1]]
-    return spark.createDataFrame(runs, "stage string, records_in bigint, records_out bigint")
+    return spark.read.parquet(f"{_built(spark, sf_dir)[0]}/runs").drop("seconds")
 
 
 def query_terms(spark, sf_dir):
@@ -263,16 +263,91 @@ def _search(query: str):
     return lambda spark, sf_dir: _rounded(ix.search(_index(spark, sf_dir), query), "score")
 
 
-def _phrase(query: str):
+def _phrase(query: str, limit: int | None = None):
     return lambda spark, sf_dir: _rounded(
-        ix.phrase_search(_index(spark, sf_dir), _documents(spark, sf_dir), query), "score"
+        ix.phrase_search(_index(spark, sf_dir), _documents(spark, sf_dir), query, limit), "score"
     )
 
 
+def search_long(spark, sf_dir):
+    """A query of all words of a benchmark item, which one document or more hold."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").agg(F.min_by("text", "item_id")).first()[0]
+    return _rounded(ix.search(_index(spark, sf_dir), item), "score")
+
+
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents of several rows, put together in order."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return ix.join_lines(turns.select(F.col("conv_id").alias("doc_id"), "text", "turn"), "turn")
+
+
+def phrase_search_parts(spark, sf_dir):
+    """A phrase in documents of several rows, over the edges of rows as well."""
+    docs = settle(_conversations(spark, sf_dir))
+    index = settle(ix.tfidf_index(settle(ix.normalize_tf(ix.term_frequencies(docs))), ix.count_documents(docs)))
+    return _rounded(ix.phrase_search(index, docs, "of the"), "score")
+
+
+def match_offsets_parts(spark, sf_dir):
+    return ix.match_offsets(_conversations(spark, sf_dir), "of the")
+
+
+def document_fetch_blank(spark, sf_dir):
+    """Fetched documents of which every third holds nothing but blanks."""
+    docs = _documents(spark, sf_dir)
+    blanked = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.lit(" \t\n")).otherwise(F.col("text")))
+    return ix.fetch_documents(blanked, ix.search(_index(spark, sf_dir), "license").select("doc_id"))
+
+
+def ids_from_names(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    name = F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise(".txt.txt"))
+    return docs.select("doc_id", doc_id_from_file_name(name).alias("name_id"))
+
+
+def _lines(spark: SparkSession, sf_dir: str, name: str, line) -> str:
+    """Folder of a text file of one line per document."""
+
+    def make():
+        out = new_folder(spark, name)
+        spark.read.parquet(f"{sf_dir}/documents.parquet").select(line.alias("value")).write.text(out)
+        return out
+
+    return _once(spark, sf_dir, name, make)
+
+
+def malformed_tokens(spark, sf_dir):
+    """Token lines of which some are broken, and counts beyond 32 bits."""
+    doc_id = F.col("doc_id")
+    line = (
+        F.when(doc_id % 5 == 0, F.concat(F.lit("nodelimiter"), doc_id))
+        .when(doc_id % 5 == 1, F.concat(F.lit("word@"), doc_id, F.lit("\tabc")))
+        .otherwise(F.concat(F.lit("a@b@"), doc_id, F.lit("\t"), doc_id + 3_000_000_000))
+    )
+    rows = ix.read_tokens_text(spark, _lines(spark, sf_dir, "malformed_tokens", line))
+    return rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+def malformed_postings(spark, sf_dir):
+    """Posting lines of which some entries are broken."""
+    doc_id = F.col("doc_id")
+    line = (
+        F.when(doc_id % 4 == 0, F.concat(F.lit("nodelimiter"), doc_id))
+        .when(doc_id % 4 == 1, F.concat(F.lit("w"), doc_id, F.lit("\t1:bad,2:0.5,,:")))
+        .otherwise(F.concat(F.lit("w"), doc_id, F.lit("\t1:0.5,1:0.75,2:0.25")))
+    )
+    return ix.read_postings_text(spark, _lines(spark, sf_dir, "malformed_postings", line))
+
+
 def search_batch(spark, sf_dir):
     return _rounded(ix.search_batch(_index(spark, sf_dir), _queries(spark)), "score")
 
 
+def search_batch_top_large(spark, sf_dir):
+    """More results per query than Spark keeps in one group before an exchange."""
+    return _rounded(ix.search_batch(_index(spark, sf_dir), _queries(spark), top=2000), "score")
+
+
 def search_batch_top(spark, sf_dir):
     return _rounded(ix.search_batch(_index(spark, sf_dir), _queries(spark), top=20), "score")
 
@@ -304,9 +379,8 @@ def document_head(spark, sf_dir):
 
 def title_lookup(spark, sf_dir):
     """Titles from the dictionary or the fallback, with scores as displayed."""
-    results = ix.search(_index(spark, sf_dir), "the")
-    nowhere = _documents(spark, sf_dir).where(F.lit(False))
-    titled = ix.resolve_titles(results, _titles(spark, sf_dir), nowhere)
+    named = ix.lookup_titles(ix.search(_index(spark, sf_dir), "the"), _titles(spark, sf_dir))
+    titled = named.withColumn("title", F.coalesce("title", untitled(F.col("doc_id"))))
     return _rounded(ix.as_displayed(titled), "score")
 
 
@@ -377,6 +451,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query_terms,
         search_batch,
         search_batch_top,
+        search_batch_top_large,
         search_batch_benchmark,
         phrase_search_batch,
         phrase_search_batch_benchmark,
@@ -391,6 +466,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         match_offsets_word,
         match_navigation,
         match_spans,
+        search_long,
+        phrase_search_parts,
+        match_offsets_parts,
+        document_fetch_blank,
+        ids_from_names,
+        malformed_tokens,
+        malformed_postings,
     ]
     return {query.__name__: query for query in named} | {
         "search_single": _search("license"),
@@ -400,6 +482,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_only_unknown": _search("zzzunknown"),
         "search_repeated_term": _search("the the of"),
         "phrase_search": _phrase("of the"),
+        "phrase_search_top": _phrase("of the", 100),
         "phrase_search_quoted": _phrase('"and of the"'),
         "phrase_search_single": _phrase('"license"'),
     } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
@@ -423,9 +506,9 @@ _ROUNDED_IDX = """SELECT term, doc_id, n, doc_len, round(tf, 9) AS tf, df, round
     round(tfidf, 9) AS tfidf FROM idx"""
 
 
-def _hits_ctes(queries_sql: str) -> str:
+def _hits_ctes(queries_sql: str, docs: str = "documents") -> str:
     """Lenient AND search of a table of queries."""
-    return f"""{_index_ctes()},
+    return f"""{_index_ctes(docs)},
     asked AS ({queries_sql}),
     qlists AS (SELECT query_id, regexp_extract_all(lower(query), '[a-z0-9]+') AS terms FROM asked),
     qtoks AS (SELECT query_id, unnest(terms) AS term, generate_subscripts(terms, 1) - 1 AS pos FROM qlists),
@@ -437,17 +520,15 @@ def _hits_ctes(queries_sql: str) -> str:
         GROUP BY query_id, doc_id, n_known HAVING count(*) = n_known)"""
 
 
-def _phrase_ctes(queries_sql: str) -> str:
-    return f"""{_hits_ctes(queries_sql)},
+def _phrase_ctes(queries_sql: str, docs: str = "documents") -> str:
+    return f"""{_hits_ctes(queries_sql, docs)},
     patterns AS (
         SELECT query_id, len(terms) AS n_terms, '(?i)\\b' || array_to_string(terms, '[^a-zA-Z0-9]+') || '\\b' AS pattern
         FROM qlists),
-    found AS (
-        SELECT query_id, doc_id, score, n_terms,
-            row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS place
-        FROM hits JOIN patterns USING (query_id) JOIN documents USING (doc_id)
-        WHERE n_terms = 1 OR regexp_matches(text, pattern)),
-    shown AS (SELECT query_id, doc_id, score FROM found WHERE n_terms = 1 OR place <= 100)"""
+    shown AS (
+        SELECT query_id, doc_id, score
+        FROM hits JOIN patterns USING (query_id) JOIN {docs} USING (doc_id)
+        WHERE n_terms = 1 OR regexp_matches(text, pattern))"""
 
 
 def _values() -> str:
@@ -470,6 +551,9 @@ def _phrase_sql(query: str) -> str:
     return f"WITH {_phrase_ctes(_one(query))} SELECT doc_id, round(score, 9) AS score FROM shown"
 
 
+_TALKS = """talks AS (
+    SELECT conv_id AS doc_id, string_agg(text, chr(10) ORDER BY turn, text) AS text FROM conversations GROUP BY conv_id)"""
+
 _HEADERS = """books AS (
     SELECT doc_id, (CASE doc_id % 6
         WHEN 0 THEN 'Title: ' || name || ',' || chr(10) || 'Author: Nobody' || chr(10) || chr(10)
@@ -566,6 +650,25 @@ def oracle_sql() -> dict[str, str]:
         "search_batch_benchmark": f"""WITH {_hits_ctes(_BENCHMARK)}
             SELECT query_id, doc_id, round(score, 9) AS score FROM hits""",
         "phrase_search": _phrase_sql("of the"),
+        "phrase_search_top": f"{_phrase_sql('of the')} ORDER BY shown.score DESC, doc_id LIMIT 100",
+        "search_long": f"""WITH {_hits_ctes("SELECT 1 AS query_id, arg_min(text, item_id) AS query FROM benchmark")}
+            SELECT doc_id, round(score, 9) AS score FROM hits""",
+        "search_batch_top_large": f"""WITH {_hits_ctes(_values())}, ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM hits)
+            SELECT query_id, doc_id, round(score, 9) AS score, rank FROM ranked WHERE rank <= 2000""",
+        "phrase_search_parts": f"""WITH {_TALKS}, {_phrase_ctes(_one("of the"), "talks")}
+            SELECT doc_id, round(score, 9) AS score FROM shown""",
+        "match_offsets_parts": f"WITH {_TALKS}, {of_the.replace('FROM documents', 'FROM talks')} SELECT * FROM offsets",
+        "document_fetch_blank": f"""{_IDX} SELECT doc_id,
+            CASE WHEN doc_id % 3 = 0 THEN ' ' || chr(9) || chr(10) ELSE text END AS text, doc_id % 3 = 0 AS is_blank
+            FROM documents WHERE doc_id IN (SELECT doc_id FROM tc WHERE term = 'license')""",
+        "ids_from_names": """SELECT doc_id, doc_id || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '.txt' END AS name_id
+            FROM documents""",
+        "malformed_tokens": "SELECT doc_id, 'a@b' AS term, doc_id + 3000000000 AS n FROM documents WHERE doc_id % 5 > 1",
+        "malformed_postings": """SELECT 'w' || doc_id AS term, unnest(ids) AS doc_id, unnest(scores) AS tfidf FROM (
+            SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN ['2'] ELSE ['1', '2'] END AS ids,
+                CASE WHEN doc_id % 4 = 1 THEN [0.5::DOUBLE] ELSE [0.75::DOUBLE, 0.25] END AS scores
+            FROM documents WHERE doc_id % 4 > 0)""",
         "phrase_search_quoted": _phrase_sql('"and of the"'),
         "phrase_search_single": _phrase_sql('"license"'),
         "phrase_search_batch": f"""WITH {_phrase_ctes(_values())}

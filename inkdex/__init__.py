@@ -29,6 +29,7 @@ from inkdex.sources.corpus import (
     count_documents,
     fetch_documents,
     first_documents,
+    join_lines,
     read_lines,
     read_table,
     read_whole,

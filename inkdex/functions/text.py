@@ -53,19 +53,7 @@ def run_length(run: Column) -> Column:
 
 def trim_control(text: Column) -> Column:
     """Strip every leading and trailing character up to U+0020 (SQL ``trim`` strips only spaces)."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-
-
-def is_quoted(query: Column) -> Column:
-    """Whether a trimmed query is enclosed in double quotes with something between them."""
-    return query.startswith('"') & query.endswith('"') & (F.length(query) > 2)
-
-
-def unquote(query: Column) -> Column:
-    """Trim a query and take off one pair of enclosing double quotes."""
-    trimmed = trim_control(query)
-    inner = trimmed.substr(F.lit(2), F.length(trimmed) - 2)
-    return F.when(is_quoted(trimmed), trim_control(inner)).otherwise(trimmed)
+    return F.regexp_replace(text, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
 
 
 def phrase_pattern(terms: Column) -> Column:
@@ -105,8 +93,8 @@ def score_text(score: Column) -> Column:
 
 
 def parse_int(text: Column) -> Column:
-    """Decimal integer or null; no blanks, at most 32 bits."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int")).cast("bigint")
+    """Decimal integer of at most 64 bits, or null; no blanks."""
+    return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
 def parse_double(text: Column) -> Column:

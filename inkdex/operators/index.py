@@ -14,6 +14,16 @@ from inkdex.session import settle
 BLOCK_POSTINGS = 65_536
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a plain scan of few input splits one partition per core.
+
+    A table of a few large row groups would leave most cores idle while it is tokenised. A scan with
+    at least as many splits as cores, as any large one has, is returned unchanged, and so is one without any.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 0 < rows.rdd.getNumPartitions() < cores else rows
+
+
 def term_frequencies(docs: DataFrame, whole: bool = True) -> DataFrame:
     """Stage 1: ``(doc_id, term, n)``.
 
@@ -25,7 +35,7 @@ def term_frequencies(docs: DataFrame, whole: bool = True) -> DataFrame:
     # Staged selects: with one select the optimizer would tokenise again above the generator. The
     # outer form of explode: for the inner one it infers a filter on the array, pushes it to the scan
     # and tokenises there as well.
-    cut = docs.select("doc_id", tokens(F.col("text")).alias("tokens"))
+    cut = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("tokens"))
     runs = cut.select("doc_id", F.size("tokens").cast("bigint").alias("doc_len"), term_runs(F.col("tokens")).alias("runs"))
     rows = runs.select("doc_id", F.explode_outer("runs").alias("run"), "doc_len").where("run is not null")
     counts = rows.select("doc_id", run_term(F.col("run")).alias("term"), run_length(F.col("run")).alias("n"), "doc_len")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import phrase_pattern, phrase_regex, split_terms, tokens
@@ -12,15 +12,9 @@ from inkdex.operators.joins import join_blocks, join_by_weight
 from inkdex.operators.postings import Index
 from inkdex.session import settle, settle_sized
 
-# Fixed value: a phrase search shows this many matches, best scores first.
-PHRASE_LIMIT = 100
-
 # Postings of the rarest term of a query up to which they are broadcast: 64 MB for ids of 300 bytes.
 BROADCAST_POSTINGS = 200_000
 
-# Best candidates whose texts a phrase search looks up before it reads the whole corpus.
-PHRASE_PROBE = 10 * PHRASE_LIMIT
-
 
 def best_first(results: DataFrame, *keys: str) -> DataFrame:
     """Order by score, then by id, so that equal scores have a defined order."""
@@ -33,62 +27,55 @@ def search(index: Index | DataFrame, query: str | None) -> DataFrame:
     Terms the index does not hold are ignored. A repeated term counts each time. A ``limit`` on the
     result takes the place of the full sort.
     """
-    return best_first(_hits(Index.of(index), split_terms(query))[0])
+    return best_first(_hits(Index.of(index), split_terms(query)))
 
 
-def _hits(index: Index, terms: list[str]) -> tuple[DataFrame, int]:
-    """Unordered hits and an upper bound of their number.
+def _hits(index: Index, terms: list[str]) -> DataFrame:
+    """Unordered hits.
 
-    Postings are met from the rarest term up. No later step has more rows than the rarest term has
-    documents, so where that number is small all joins are broadcast joins, and the postings of the
-    common terms are only filtered where they lie.
+    The postings of all terms come from one scan, however many terms there are. If the rarest term
+    has few documents, these are broadcast, and the postings of the common terms are only filtered
+    where they lie; what is left is grouped by document. Scores are added in query order, so that
+    equal documents have equal sums.
     """
     weights = Counter(terms)
     df = index.frequencies(list(weights))
     if not df:
-        return index.postings.select("doc_id", F.col("tfidf").alias("score")).where(F.lit(False)), 0
-    rarest, *others = sorted(df, key=lambda term: (df[term], term))
-    score = {term: f"score_{at}" for at, term in enumerate(weights)}
-
-    def scored(term: str) -> DataFrame:
-        return index.postings_of([term]).select("doc_id", (F.col("tfidf") * weights[term]).alias(score[term]))
-
-    hits = scored(rarest)
-    small = df[rarest] <= BROADCAST_POSTINGS
-    for term in others:
-        hits = scored(term).join(F.broadcast(hits) if small else hits, "doc_id")
-    total: Column = sum((F.col(score[term]) for term in weights if term in df), F.lit(0.0))
-    return hits.select("doc_id", total.alias("score")), df[rarest]
-
-
-def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None, limit: int = PHRASE_LIMIT) -> DataFrame:
-    """``(doc_id, score)`` as an end user sees them, best first.
+        return index.postings.select("doc_id", F.col("tfidf").alias("score")).where(F.lit(False))
+    known = [term for term in weights if term in df]
+    rarest = min(known, key=lambda term: (df[term], term))
+    if len(known) == 1:
+        return index.postings_of(known).select("doc_id", (F.col("tfidf") * weights[rarest]).alias("score"))
+    postings = index.postings_of(known).select("term", "doc_id", "tfidf")
+    if df[rarest] <= BROADCAST_POSTINGS:
+        some, small = settle_sized(index.postings_of([rarest]).select("doc_id"), "rarest")
+        if small:
+            postings = postings.join(F.broadcast(some), "doc_id", "left_semi")
+    told = F.create_map(*(F.lit(x) for at, term in enumerate(known) for x in (term, f"{at:06d} {weights[term]}")))
+    note = F.split(told[F.col("term")], " ")
+    part = F.struct(note[0].alias("pos"), (F.col("tfidf") * note[1].cast("int")).alias("score"))
+    # A list holds one entry per term of the query.
+    found = postings.groupBy("doc_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    total = F.aggregate(F.col("parts")["score"], F.lit(0.0), lambda done, score: done + score)
+    return found.where(F.size("parts") == len(known)).select("doc_id", total.alias("score"))
+
+
+def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None, limit: int | None = None) -> DataFrame:
+    """``(doc_id, score)`` of all documents that an end user's query finds, best first.
 
     With one term this is ``search``. With more, quoted or not, the terms must also stand next to
-    each other in the text, and the best ``limit`` matches are kept.
+    each other in the text. ``limit`` keeps that many of the best. A row of ``docs`` is a whole
+    document; ``join_lines`` makes one of several rows.
 
-    The texts of the best candidates are looked up first, by literal ids that reach the scan; where
-    they already give ``limit`` matches no other text can change the result. Otherwise all candidates
-    are tested.
+    The pattern is tested in the scan of the texts and only ids are joined to the hits, so no text is exchanged.
     """
     terms = split_terms(query)
-    hits, at_most = _hits(Index.of(index), terms)
-    if len(terms) < 2 or at_most == 0:
-        return best_first(hits)
-    texts = docs.select("doc_id", "text")
-    regex = phrase_regex(terms)
-    hits, small = settle_sized(hits.withColumn("pattern", F.lit(regex)), "hits")
-    probe = best_first(hits).limit(PHRASE_PROBE).select("doc_id").collect()
-    named = F.col("doc_id").isin([row.doc_id for row in probe])
-    adjacent = texts.where(named).where(F.col("text").rlike(regex))
-    found = adjacent.join(F.broadcast(hits.where(named)), "doc_id")
-    if len(probe) == PHRASE_PROBE:
-        found = settle(found.select("doc_id", "score"), "found")
-        if found.count() < limit:
-            # A stored column, not a literal: a literal test would be pushed below the join and run
-            # on every text of the corpus.
-            found = texts.join(F.broadcast(hits) if small else hits, "doc_id").where(F.expr("text rlike pattern"))
-    return best_first(found.select("doc_id", "score")).limit(limit)
+    hits = _hits(Index.of(index), terms)
+    if len(terms) > 1:
+        adjacent = docs.where(F.col("text").rlike(phrase_regex(terms))).select("doc_id").distinct()
+        hits = hits.join(adjacent, "doc_id", "left_semi")
+    found = best_first(hits)
+    return found if limit is None else found.limit(limit)
 
 
 def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None = None) -> DataFrame:
@@ -101,15 +88,20 @@ def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None =
 
 
 def phrase_search_batch(
-    index: Index | DataFrame, docs: DataFrame, queries: DataFrame, limit: int = PHRASE_LIMIT
+    index: Index | DataFrame, docs: DataFrame, queries: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """``phrase_search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``."""
+    """``phrase_search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``.
+
+    ``limit`` keeps that many of the best of each query that is a phrase.
+    """
     hits, small = settle_sized(_with_patterns(_batch_hits(Index.of(index), queries), queries), "hits")
     phrases = hits.where("pattern is not null")
     if small:
         phrases = F.broadcast(phrases)
     found = docs.select("doc_id", "text").join(phrases, "doc_id").where(F.expr("text rlike pattern"))
-    best = _best(found.select("query_id", "doc_id", "score"), limit).drop("rank")
+    best = found.select("query_id", "doc_id", "score")
+    if limit is not None:
+        best = _best(best, limit).drop("rank")
     words = hits.where("pattern is null").select("query_id", "doc_id", "score")
     return best_first(words.unionByName(best), "query_id")
 
@@ -142,7 +134,9 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score)``, unordered."""
+    """``(query_id, doc_id, score)``, unordered; two queries of one id are an error."""
+    if not queries.groupBy("query_id").count().where("count > 1").isEmpty():
+        raise ValueError("query_id must be unique")
     terms, few_terms = settle_sized(query_terms(queries), "terms")
     leads, few_leads = settle_sized(_leads(_known(index, terms, few_terms)), "leads")
     postings = index.postings_near(terms, few_terms).select("term", "doc_id", "tfidf")

@@ -36,6 +36,7 @@ def found_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> Data
 
 def resolve_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> DataFrame:
     """Results with a ``title`` for every row."""
+    results = settle(results, "results")  # read twice below
     found = found_titles(results, titles, docs)
     named = lookup_titles(results, titles)
     both = named.join(found.withColumnRenamed("title", "found"), "doc_id", "left")

@@ -15,7 +15,8 @@ from inkdex.sources.corpus import count_documents
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
 TOKENS, TF, POSTINGS = "tokens", "index", "tfidf"
-VOCABULARY, LAYOUT = "vocabulary", "layout"
+VOCABULARY, LAYOUT, RUNS = "vocabulary", "layout", "runs"
+RUNS_SCHEMA = "stage string, records_in bigint, records_out bigint, seconds double"
 
 # Size of the stored index's parts, in postings. A shard is a directory that a query can skip, a
 # group is a set of terms that is kept together in one file where it fits.
@@ -51,10 +52,10 @@ def build_index(
     rows = source
     if stage in ("all", "job1"):
         runs.append(_write_tokens(rows, f"{out}/{TOKENS}", whole))
-        if stage == "all" and n_docs is None:
-            n_docs = count_documents(source).first().n_docs
-            if whole and n_docs != runs[-1].records_in:
-                raise ValueError("documents have several rows, or no id: build with whole=False")
+        counted = count_documents(source).first().n_docs if whole or n_docs is None else None
+        if whole and counted != runs[-1].records_in:
+            raise ValueError("documents have several rows, or no id: build with whole=False")
+        n_docs = counted if n_docs is None else n_docs
         rows = spark.read.parquet(f"{out}/{TOKENS}")
     if stage in ("all", "job2"):
         runs.append(_write_tf(rows, f"{out}/{TF}"))
@@ -63,6 +64,8 @@ def build_index(
         if not n_docs:
             raise ValueError("the number of documents must be given, and must not be zero")
         runs.append(_write_postings(rows, out, n_docs))
+    told = spark.createDataFrame([(r.stage, r.records_in, r.records_out, r.seconds) for r in runs], RUNS_SCHEMA)
+    told.coalesce(1).write.mode("overwrite").parquet(f"{out}/{RUNS}")
     return runs
 
 

@@ -6,34 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import DOCUMENT_SUFFIX, doc_id_from_file_name, file_name
+from inkdex.session import settle_sized
 
 # Named corpus sizes, in documents.
 PRESETS = {"small": 100, "half": 4000, "all": None}
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give a plain scan of few input splits one partition per core.
-
-    A table of a few large row groups would leave most cores idle while it is tokenised. A scan with
-    at least as many splits as cores, as any large one has, is returned unchanged.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def read_table(spark: SparkSession, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text)`` from a parquet table with one row per document."""
-    return spread(spark.read.parquet(path).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    return spark.read.parquet(path).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
 def read_lines(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """``(doc_id, text)`` with one row per line; large files are split among tasks.
+    """``(doc_id, text, part)`` with one row per line; large files are split among tasks.
 
-    A document has many rows here: index it with ``whole=False``.
+    A document has many rows here, in the order of ``part``: index it with ``whole=False``. Phrases,
+    offsets and headers go over line breaks, so those operators take ``join_lines`` of it.
     """
     return _read(spark, path, limit, whole=False)
 
 
+def join_lines(rows: DataFrame, part: str = "part") -> DataFrame:
+    """``(doc_id, text)`` with one row per document: its rows in the order of ``part``, joined by line breaks.
+
+    A document must fit a row then; null texts are left out.
+    """
+    lines = rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(part, "text"))).alias("lines"))
+    texts = F.filter(F.col("lines")["text"], lambda t: t.isNotNull())
+    return lines.select("doc_id", F.array_join(texts, "\n").alias("text"))
+
+
 def read_whole(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """``(doc_id, text)`` with one row per file."""
     return _read(spark, path, limit, whole=True)
@@ -43,7 +45,11 @@ def _read(spark: SparkSession, path: str, limit: int | None, whole: bool) -> Dat
     paths = path if limit is None else _first_paths(spark, path, limit)
     lines = spark.read.text(paths, wholetext=whole)
     name = file_name(F.col("_metadata.file_name"))
-    return lines.select(doc_id_from_file_name(name).alias("doc_id"), F.col("value").alias("text"))
+    columns = [doc_id_from_file_name(name).alias("doc_id"), F.col("value").alias("text")]
+    if not whole:
+        at = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        columns.append(at.alias("part"))
+    return lines.select(*columns)
 
 
 def _first_paths(spark: SparkSession, path: str, limit: int) -> list[str]:
@@ -89,5 +95,10 @@ def fetch_documents(docs: DataFrame, ids: list | DataFrame) -> DataFrame:
 
     A list of ids is pushed into the scan; a DataFrame ``(doc_id)`` is joined.
     """
-    wanted = docs.join(ids, "doc_id", "left_semi") if isinstance(ids, DataFrame) else docs.where(F.col("doc_id").isin(ids))
+    if isinstance(ids, DataFrame):
+        # Few ids are broadcast, so that no text is exchanged.
+        ids, small = settle_sized(ids.select("doc_id").distinct(), "ids")
+        wanted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    else:
+        wanted = docs.where(F.col("doc_id").isin(ids))
     return wanted.withColumn("is_blank", ~F.col("text").rlike(r"[^\x00-\x20]"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import parse_double, parse_int
@@ -40,8 +40,16 @@ def read_tokens_text(spark: SparkSession, path: str) -> DataFrame:
     ).where("n is not null")
 
 
+def fitting(column: Column, forbidden: str) -> Column:
+    """A column as text; a value that the format cannot hold stops the job instead of being lost."""
+    text = column.cast("string")
+    error = F.raise_error(F.concat(F.lit("the text form cannot hold: "), text))
+    return F.when(text.rlike(forbidden), error.cast("string")).otherwise(text)
+
+
 def write_tokens_text(tokens: DataFrame, path: str) -> None:
-    key = F.concat_ws("@", "term", F.col("doc_id").cast("string"))
+    """Lines that ``read_tokens_text`` reads back; an id with ``@``, a tab or a line break is an error."""
+    key = F.concat_ws("@", fitting(F.col("term"), "[\\t\\n\\r]"), fitting(F.col("doc_id"), "[@\\t\\n\\r]"))
     _write_lines(tokens, path, key, F.col("n").cast("string"))
 
 
@@ -61,8 +69,9 @@ def read_tf_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tf_text(tf: DataFrame, path: str) -> None:
-    item = F.concat_ws("=", F.col("doc_id").cast("string"), F.col("tf").cast("string"))
-    _write_lines(tf, path, F.col("term"), item)
+    """Lines that ``read_tf_text`` reads back; an id with a tab or a line break is an error."""
+    item = F.concat_ws("=", fitting(F.col("doc_id"), "[\\t\\n\\r]"), F.col("tf").cast("string"))
+    _write_lines(tf, path, fitting(F.col("term"), "[\\t\\n\\r]"), item)
 
 
 def _write_lines(rows: DataFrame, path: str, *fields) -> None:
@@ -97,9 +106,11 @@ def write_postings_text(blocks: DataFrame, path: str) -> None:
 
     Each block is turned into text where it lies; only the finished pieces of a term meet, in block
     order. The format puts a term on one line, so a term of more than some ten million documents
-    should stay in the parquet form.
+    should stay in the parquet form. An id with a comma, a tab or a line break is an error.
     """
-    entry = F.transform("postings", lambda p: F.concat_ws(":", p["doc_id"].cast("string"), p["tfidf"].cast("string")))
+    entry = F.transform(
+        "postings", lambda p: F.concat_ws(":", fitting(p["doc_id"], "[,\\t\\n\\r]"), p["tfidf"].cast("string"))
+    )
     pieces = blocks.select("term", F.struct("block", F.array_join(entry, ",").alias("text")).alias("piece"))
     lines = pieces.groupBy("term").agg(F.sort_array(F.collect_list("piece"))["text"].alias("texts"))
     line = F.concat_ws("\t", "term", F.array_join("texts", ","))

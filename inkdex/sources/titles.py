@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import trim_control
-from inkdex.sources.stage_text import last_by_line, text_lines
+from inkdex.sources.stage_text import fitting, last_by_line, text_lines
 
 # Fixed value: an entry is a quoted id, a colon, and a title up to the last quote of the line.
 ENTRY = r'(?s)^"([^"]*)"[^:]*:[\x00-\x20]*"(.+)"'
@@ -28,6 +28,7 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_titles(titles: DataFrame, path: str) -> None:
-    """Entries that ``read_titles`` reads back."""
-    entry = F.format_string('"%s": "%s",', F.col("doc_id").cast("string"), F.col("title"))
+    """Entries that ``read_titles`` reads back; a quote in an id or a line break is an error."""
+    doc_id, title = fitting(F.col("doc_id"), '["\\n\\r]'), fitting(F.col("title"), "[\\n\\r]")
+    entry = F.format_string('"%s": "%s",', doc_id, title)
     titles.select(entry.alias("value")).write.mode("overwrite").text(path)

@@ -107,16 +107,36 @@ def library(spark, tmp_path_factory):
     return docs, ix.load_index(spark, out), texts
 
 
-@pytest.mark.parametrize("limit, probe", [(3, 1000), (3, 12), (3, 5), (20, 10), (100, 5), (2, 40), (13, 39)])
-def test_phrase_limit(library, monkeypatch, limit, probe):
-    """The result is the same whether the first texts looked up are enough or not."""
+@pytest.mark.parametrize("limit", [None, 2, 3, 13, 100])
+def test_phrase_limit(library, limit):
     docs, index, texts = library
-    monkeypatch.setattr(search_module, "PHRASE_PROBE", probe)
     found = ix.phrase_search(index, docs, "a b", limit)
     want = [i for i, t in texts if re.search(r"\ba b\b", t)][:limit]
     assert [row.doc_id for row in found.collect()] == want
 
 
+def test_phrase_search_exchanges_no_text(library):
+    docs, index, _ = library
+    plan = ix.phrase_search(index, docs, "a b")._jdf.queryExecution().optimizedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "RLIKE" in line)
+    assert "Filter" in scan and "Join" not in scan
+
+
+def test_scans_do_not_grow_with_the_query(library):
+    _, index, _ = library
+
+    def scans(query):
+        return ix.search(index, query)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+    assert scans("a b") == scans("a b c") <= 2
+
+
+def test_query_ids_are_unique(library, spark):
+    _, index, _ = library
+    with pytest.raises(ValueError):
+        ix.search_batch(index, spark.createDataFrame([(1, "a"), (1, "b")], "query_id bigint, query string"))
+
+
 def test_phrase_limit_in_a_batch(library, spark):
     docs, index, texts = library
     asked = spark.createDataFrame([(1, "a b"), (2, "a"), (3, '"b a c"')], "query_id bigint, query string")
@@ -133,16 +153,6 @@ def test_phrase_results_are_search_results(library):
     assert set(rows(ix.phrase_search(index, docs, "a b"))) <= set(rows(ix.search(index, "a b")))
 
 
-def test_regex_runs_on_candidates_only(library, monkeypatch):
-    """Where all candidates are tested, the test stays above the join with them."""
-    docs, index, _ = library
-    monkeypatch.setattr(search_module, "PHRASE_PROBE", 5)
-    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
-    plan = ix.phrase_search(index, docs, "a b", 100)._jdf.queryExecution().optimizedPlan().toString()
-    join = next(line for line in plan.splitlines() if "Join Inner" in line)
-    assert "RLIKE" in join
-
-
 def test_best_of_a_query_is_cut_before_the_exchange(index, asked):
     plan = ix.search_batch(index, asked, top=2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")

@@ -16,7 +16,7 @@ def write(folder, name, *lines):
 def test_whole_and_lines(spark, corpus, docs):
     names = {n.removesuffix(".txt"): t for n, t in GOLDEN_FILES.items()}
     assert dict(rows(docs)) == names
-    lines = rows(ix.read_lines(spark, corpus))
+    lines = rows(ix.read_lines(spark, corpus), "doc_id", "text")
     assert ("1", "The Wizard of Oz") in lines and ("1", "WIZARD, of: oz!") in lines and len(lines) == 6
 
 
@@ -167,3 +167,32 @@ def test_shared_dir():
 def test_settle(spark):
     stored, small = settle_sized(spark.range(3).withColumn("t", F.lit("x")))
     assert small and stored.count() == 3 and settle(stored.limit(0)).columns == ["id", "t"]
+
+
+def test_lines_joined_are_whole_documents(spark, corpus):
+    joined = rows(ix.join_lines(ix.read_lines(spark, corpus)))
+    assert joined == rows(ix.read_whole(spark, corpus))
+    assert [r[3:5] for r in rows(ix.match_offsets(ix.join_lines(ix.read_lines(spark, corpus)), "oz wizard"))] == [(14, 23)]
+
+
+def test_lines_are_not_indexed_as_documents(spark, corpus, tmp_path):
+    with pytest.raises(ValueError):
+        ix.build_index(ix.read_lines(spark, corpus), str(tmp_path), n_docs=2)
+    with pytest.raises(ValueError):
+        ix.build_index(ix.read_lines(spark, corpus), str(tmp_path), "job1")
+
+
+def test_writers_lose_nothing(spark, tmp_path):
+    """What a format cannot hold stops the job; what it can comes back, counts beyond 32 bits too."""
+    good = spark.createDataFrame([("a:b,c", "the", 3_000_000_000)], "doc_id string, term string, n bigint")
+    ix.write_tokens_text(good, str(tmp_path / "t"))
+    assert rows(ix.read_tokens_text(spark, str(tmp_path / "t")), "doc_id", "term", "n") == [("a:b,c", "the", 3_000_000_000)]
+    for bad in ("c\td", "c@d", "c\nd"):
+        with pytest.raises(Exception, match="cannot hold"):
+            ix.write_tokens_text(good.withColumn("doc_id", F.lit(bad)), str(tmp_path / "bad"))
+    blocks = spark.createDataFrame([("w", 0, [("a,b", 0.5)])], "term string, block int, postings array<struct<doc_id:string,tfidf:double>>")
+    with pytest.raises(Exception, match="cannot hold"):
+        ix.write_postings_text(blocks, str(tmp_path / "bad"))
+    for title in (("1", "two\nlines"), ('a"b', "title")):
+        with pytest.raises(Exception, match="cannot hold"):
+            ix.write_titles(spark.createDataFrame([title], "doc_id string, title string"), str(tmp_path / "bad"))

@@ -23,11 +23,18 @@ def join_by_weight(rows: DataFrame, keyed: DataFrame, key: str, weight: str, hot
     rows. ``rows`` is read twice then, so it should be a stored table too. If there are no more than
     ``hot_keys`` keys in all, they are broadcast and ``rows`` is read once.
     """
-    length = F.sum(F.octet_length(F.col(key).cast("string")))
+    # Bytes of whole rows: texts and lists by their length, other values as eight.
+    texts = [c for c, kind in keyed.dtypes if kind in ("string", "binary")]
+    lists = [c for c, kind in keyed.dtypes if kind.startswith(("array", "struct", "map"))]
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts]
+    wide += [F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) for c in lists]
+    length = F.sum(sum(wide, F.lit(8 * len(keyed.columns))).cast("bigint"))
     sizes = keyed.agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("keys"), length.alias("bytes")).first()
     if sizes["keys"] <= hot_keys and (sizes["bytes"] or 0) <= session.BROADCAST_BYTES:
         return rows.join(F.broadcast(keyed), key)
-    least = -(-sizes["total"] // hot_keys)
+    # Of wide rows fewer are hot, so that the hot ones are no longer than a broadcast may be.
+    average = max((sizes["bytes"] or 0) // max(sizes["keys"], 1), 1)
+    least = -(-sizes["total"] // max(min(hot_keys, session.BROADCAST_BYTES // average), 1))
     hot, cold = keyed.where(F.col(weight) >= least), keyed.where(F.col(weight) < least)
     common = rows.join(F.broadcast(hot), key)
     rare = rows.join(F.broadcast(hot.select(key)), key, "left_anti")

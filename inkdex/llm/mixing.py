@@ -27,8 +27,8 @@ SEED = 7
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 # Pieces of [0, 1) by which points meet the intervals of the sources.
 _CELLS = 1 << 14
-# Rows or slots that are put in order in one group.
-_GROUP = 20_000
+# Slots, sources, and documents of a source that are put in order in one group.
+_GROUP, _DOCUMENTS = 20_000, 2_000
 
 
 @dataclass(frozen=True)
@@ -177,7 +177,7 @@ def mix(
     # Where each document begins in its source's line: by groups of the hash, then within a group.
     about = sources.select("key", "source", "rows", "source_no", "source_size", "target", "block_words")
     placed = join_by_weight(rows, about, "key", "rows").drop("key")
-    groups = F.expr(f"rows div {_GROUP}") + 1
+    groups = F.expr(f"rows div {_DOCUMENTS}") + 1
     bucket = F.floor((F.shiftrightunsigned("tag", 11) / F.lit(float(1 << 53))) * groups).cast("bigint")
     placed = settle(placed.withColumn("bucket", bucket), "placed")
     sums = placed.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.operators.joins import join_by_weight
@@ -15,6 +17,17 @@ from inkdex.session import settle
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on the driver's machine find this package where the driver did.
+
+    On a cluster the package is installed or sent along with the job like any other.
+    """
+    known, root = spark.sparkContext.environment, str(Path(__file__).parents[2])
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words in UTF-8 with A-Z in lower case; ``bytes`` methods know ASCII only, which is the rule."""
     return text.encode().lower().split() if text else []

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, simhash, toxicity
-from inkdex.llm.common import remainder
+from inkdex.llm.common import find_package, remainder
 from inkdex.session import new_folder
 
 
@@ -99,8 +100,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_toxicity, op2_ppm, op3_idcoder, op4_digests, op5_redirects, op6_extraction, op7_mixing, op8_covertree, op9_bpe, op10_simhash)}
+    named = [
+        op1_toxicity,
+        op2_ppm,
+        op3_idcoder,
+        op4_digests,
+        op5_redirects,
+        op6_extraction,
+        op7_mixing,
+        op8_covertree,
+        op9_bpe,
+        op10_simhash,
+    ]
+    return {query.__name__: _ready(query) for query in named}
 
 
 def _redirects_sql() -> str:

@@ -15,6 +15,9 @@ from inkdex.session import settle, settle_sized
 # Postings of the rarest term of a query up to which they are broadcast: 64 MB for ids of 300 bytes.
 BROADCAST_POSTINGS = 200_000
 
+# Postings of all terms of a query up to which they are grouped as they are.
+GROUPED_POSTINGS = 1_000_000
+
 
 def best_first(results: DataFrame, *keys: str) -> DataFrame:
     """Order by score, then by id, so that equal scores have a defined order."""
@@ -47,7 +50,7 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
     if len(known) == 1:
         return index.postings_of(known).select("doc_id", (F.col("tfidf") * weights[rarest]).alias("score"))
     postings = index.postings_of(known).select("term", "doc_id", "tfidf")
-    if df[rarest] <= BROADCAST_POSTINGS:
+    if df[rarest] <= BROADCAST_POSTINGS and sum(df.values()) > GROUPED_POSTINGS:
         some, small = settle_sized(index.postings_of([rarest]).select("doc_id"), "rarest")
         if small:
             postings = postings.join(F.broadcast(some), "doc_id", "left_semi")

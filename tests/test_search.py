@@ -131,6 +131,13 @@ def test_scans_do_not_grow_with_the_query(library):
     assert scans("a b") == scans("a b c") <= 2
 
 
+def test_the_rarest_term_filters_first(library, monkeypatch):
+    _, index, _ = library
+    plain = ordered(ix.search(index, "a b c"))
+    monkeypatch.setattr(search_module, "GROUPED_POSTINGS", 0)
+    assert ordered(ix.search(index, "a b c")) == plain and plain
+
+
 def test_query_ids_are_unique(library, spark):
     _, index, _ = library
     with pytest.raises(ValueError):

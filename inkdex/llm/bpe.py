@@ -24,7 +24,7 @@ PRINTABLE = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
 # Parts up to which the ranks of a piece are scanned; longer pieces take a heap.
 SHORT_PARTS = 96
 # Pieces of text that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 NO_RANK = 1 << 60
 

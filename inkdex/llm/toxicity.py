@@ -18,7 +18,7 @@ from inkdex.llm.common import batch_of, slices
 _WORD = re.compile(r"\w+")
 
 # Words that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 @dataclass(frozen=True)

@@ -29,18 +29,26 @@ BLOCK_ROWS = 4096
 LONG_LISTS = 500_000
 
 
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """Unsigned 64-bit SimHash of a text's word shingles, repeats included; 0 without words."""
+def shingle_hashes(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
+    """Hash of each word shingle of a text, repeats included; a text of fewer words is one shingle, none without words."""
     words = words_of(text)
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))
     n = max(len(words) - shingle_words + 1, 1)
     spans = zip(starts[:n].tolist(), (ends[-n:] - 1).tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in spans], dtype="<u8")
+    return np.array([digest(joined[a:b], seed) for a, b in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """Unsigned 64-bit SimHash of a text's word shingles, repeats included; 0 without words."""
+    hashes = shingle_hashes(text, shingle_words, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
@@ -48,7 +56,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
 _FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("fp", pa.int64())])
 
 
-def _tag() -> Column:
+def tag_of_text() -> Column:
     """With doc_id, tells the texts of one id apart."""
     return F.xxhash64(F.col("text").cast("string"))
 
@@ -62,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
             signed = np.array(values, dtype=np.uint64).view(np.int64)
             yield batch_of(_FINGERPRINTS, [batch.column("doc_id"), batch.column("tag"), signed])
 
-    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), _tag().alias("tag"), F.col("text").cast("string").alias("text")]
+    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), tag_of_text().alias("tag"), F.col("text").cast("string").alias("text")]
     return docs.select(*columns).mapInArrow(run, "doc_id bigint, tag bigint, fp bigint")
 
 
@@ -178,7 +186,15 @@ def simhash_classes(docs: DataFrame, max_bits: int = MAX_BITS, shingle_words: in
     classes = settle(
         rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows")), "classes"
     )
-    joined = components(fingerprint_links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    return components_of(rows, classes, fingerprint_links(classes.select("fp"), max_bits))
+
+
+def components_of(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, tag, fp, component, component_id) per row of ``rows`` (doc_id, tag, fp).
+
+    ``classes`` has the smallest doc_id (``first``) and the number of ``rows`` per fp; ``links`` (a, b) join values of fp.
+    """
+    joined = components(links).withColumnRenamed("node", "fp")
     named = classes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     sizes = named.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     named = join_by_weight(settle(named, "classes"), settle(sizes, "components"), "component", "classes")
@@ -192,7 +208,11 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     That is the row of the smallest doc_id of each component; a row without an id only if its component has
     none. Of several such rows in a component, one stays, that of the smallest hash of its text.
     """
-    found = settle(simhash_classes(docs, max_bits), "found")
+    return keep_first_found(docs, settle(simhash_classes(docs, max_bits), "found"))
+
+
+def keep_first_found(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``keep_first`` by the stored components ``found`` (doc_id, tag, component, component_id)."""
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component", "doc_id").agg(F.min("tag").alias("tag"))
     rows = found.groupBy("doc_id", "tag").agg(F.count(F.lit(1)).alias("rows"))
     first = first.select(F.col("doc_id").alias("first_id"), F.col("tag").alias("first_tag"))
@@ -202,7 +222,7 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     marks, small = settle_sized(marks.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "kept"), "marks")
     if small:
         marks = F.broadcast(marks)
-    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (_tag() == F.col("_tag"))
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (tag_of_text() == F.col("_tag"))
     plain = docs.join(marks, own, "left_anti")
     repeated = docs.join(marks.where("kept"), own, "left_semi")
     return plain.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

@@ -27,10 +27,15 @@ FORM_ODDS = 10.0
 
 # Kinds of elements by name.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
+RAW = frozenset("script style title".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I | re.A) for name in RAW}
+# Elements of their own that do not end a block of text, and what stands inside of them as part of a line.
+EMBEDDED = frozenset("math svg object noscript template iframe select textarea".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom semantics "
+    "annotation circle defs desc ellipse g line path polygon polyline rect symbol text tspan use".split()
 )
 # An element of these kinds ends an open paragraph; the others end an open one of the same kind.
 ENDS_P = frozenset(
@@ -93,7 +98,7 @@ class Page:
         self.elements[0].chars += self.elements[0].own
 
     def _parse(self, source: str) -> None:
-        open_, links, at, lower = [(0, "")], 0, 0, None
+        open_, links, at = [(0, "")], 0, 0
         while found := _TAG.search(source, at):
             self._text(open_[-1][0], source[at : found.start()], links)
             at = found.end()
@@ -106,17 +111,15 @@ class Page:
                         links -= open_.pop()[1] == "a"
                     open_.pop()
                     links -= name == "a"
-                if name not in INLINE:
+                if name not in INLINE and name not in EMBEDDED:
                     self.pieces.append((open_[-1][0], None))
                 continue
-            if name in RAW:
+            if name in RAW and not (name == "title" and any(n == "svg" for _, n in open_)):
                 if not attributes.endswith("/"):
-                    lower = source.lower() if lower is None else lower
-                    end = lower.find(f"</{name}", at)
-                    close = source.find(">", end) if end >= 0 else -1
-                    at = close + 1 if close >= 0 else len(source)
+                    end = _RAW_END[name].search(source, at)
+                    at = end.end() if end else len(source)
                 continue
-            if name not in INLINE:
+            if name not in INLINE and name not in EMBEDDED:
                 self.pieces.append((open_[-1][0], None))
             if name in VOID or attributes.endswith("/"):
                 if name == "br":
@@ -433,7 +436,7 @@ _TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.s
 def extract(pages: DataFrame, model: Trees | None) -> DataFrame:
     """(page_id, url, text) per row of ``pages`` (page_id, url, html): the main text of the whole page.
 
-    Scripts, styles, forms' choices, comments and markup never are text; of the rest the model
+    Scripts, styles, the page's title, comments and markup never are text; of the rest the model
     decides by element. Character references are decoded, white space inside a block (``br`` included)
     becomes one space, blocks are joined by line breaks. Null and empty pages, pages without main
     text, and all pages if there was nothing to fit a model on, have the empty text; repeated rows stay.

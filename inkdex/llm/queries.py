@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, simhash, toxicity
+from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, repair, simhash, toxicity
 from inkdex.llm.common import find_package, remainder
 from inkdex.session import new_folder
 
@@ -100,6 +100,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = repair.report(repair.damage(turns)).withColumnRenamed("conv_id", "own")
+    ids = turns.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("own")), "left").select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_covertree,
         op9_bpe,
         op10_simhash,
+        op11_repair,
     ]
     return {query.__name__: _ready(query) for query in named}
 
@@ -163,5 +177,88 @@ def _redirects_sql() -> str:
     FROM rows LEFT JOIN own USING (id) LEFT JOIN groups USING (node)"""
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ord(ch)::BIGINT)"
+    bits = "list_reduce(list_prepend(xor(sum, byte), range(8)), lambda crc, i: xor(crc >> 1, (crc & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda sum, byte: {bits}), 4294967295::BIGINT)"
+
+
+def _repair_sql() -> str:
+    """Forward by turns: the cheapest, then least, edits that lead to each state, with the text they leave."""
+    space = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def least(*ways: str) -> str:
+        """Of (cost, audit, lines) the first; a missing one has a null cost."""
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda way: way.c IS NOT NULL))[1]"
+
+    def way(state: str, cost: str, letter: str, line: str, when: str = "true") -> str:
+        # Lines are joined as they come; the first of them begins with a line feed, which is cut off pos the end.
+        lines = f"{state}.t || {line}" if line else f"{state}.t"
+        return f"{{'c': CASE WHEN {when} THEN {state}.c + {cost} END, 'a': {state}.a || '{letter}', 't': {lines}}}"
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    keep, rerole, own = "(3 * trunc)", "(3 + 3 * trunc)", "chr(10) || role || ':' || text"
+    free = "NOT gone"
+
+    def kept(state: str, initial: str) -> str:
+        return way(state, keep, "K", own, f"{free} AND left(role, 1) = '{initial}'")
+
+    def made(state: str, role: str) -> str:
+        return way(state, rerole, "R", f"{role} || text", free)
+
+    def deleted(state: str) -> str:
+        return way(state, "4", "D", "")
+
+    inserted_user = [way(s, "3", "I", user) for s in ("z", "s", "a")]
+    nothing = "{'c': NULL::BIGINT, 'a': '', 't': ''}"
+    return f"""WITH RECURSIVE named AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+    kinds AS (SELECT *, {_crc32_sql('name')} % 20 AS kind FROM named),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+        FROM kinds WHERE kind <> 0),
+    placed AS (
+        SELECT conv_id, turn, role, text, row_number() OVER w AS pos,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+            lag(left(role, 1)) OVER w || left(role, 1) AS pair, right(rtrim(text, {space}), 1) AS last
+        FROM damaged
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substring(text, 1, 256), md5(text), copy)),
+    faults AS (
+        SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate'
+            WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+    rows AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS trunc FROM faults),
+    counts AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY conv_id),
+    steps AS (
+        SELECT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS z,
+            {nothing} AS s, {{'c': 3::BIGINT, 'a': 'I', 't': {user}}} AS u,
+            {{'c': 6::BIGINT, 'a': 'II', 't': {user} || {assistant}}} AS a FROM counts
+        UNION ALL
+        SELECT conv_id, pos, z, s, u, {least('a', way('u', '3', 'I', assistant))} AS a FROM (
+            SELECT conv_id, pos, z, s, a, {least('u', *inserted_user)} AS u FROM (
+                SELECT conv_id, r.pos, {deleted('z')} AS z, {least(deleted('s'), kept('z', 's'))} AS s,
+                    {least(deleted('u'), kept('z', 'u'), kept('s', 'u'), kept('a', 'u'), *(made(x, user) for x in ('z', 's', 'a')))} AS u,
+                    {least(deleted('a'), kept('u', 'a'), made('u', assistant))} AS a
+                FROM (SELECT conv_id AS own, pos AS done, z, s, u, a FROM steps) JOIN rows r
+                    ON r.conv_id IS NOT DISTINCT FROM own AND r.pos = done + 1))),
+    ends AS (
+        SELECT steps.conv_id, {least('z', 'a')} AS best FROM steps JOIN counts
+            ON steps.conv_id IS NOT DISTINCT FROM counts.conv_id AND pos = n)
+    SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+        coalesce(best.a, '') AS audit, sha256(coalesce(substring(best.t, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) ids
+    LEFT JOIN counts ON ids.conv_id IS NOT DISTINCT FROM counts.conv_id
+    LEFT JOIN ends ON ids.conv_id IS NOT DISTINCT FROM ends.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_redirects": _redirects_sql()}
+    return {"op5_redirects": _redirects_sql(), "op11_repair": _repair_sql()}

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, repair, simhash, toxicity
-from inkdex.llm.common import find_package, remainder
+from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, repair, runs, simhash, toxicity
+from inkdex.llm.common import WORD_PATTERN, find_package, remainder
 from inkdex.session import new_folder
 
 
@@ -113,6 +113,43 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text); every tenth document by crc32 of its id goes on in a short period from some word on."""
+    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0))
+    rows = docs.select("doc_id", "text", F.when(crc % 10 == 0, words).alias("words"), F.floor(crc / 10).alias("g"))
+    n = F.size("words").cast("bigint")
+    rows = rows.select("doc_id", "text", "words", "g", n.alias("n"), F.when(n > 0, F.pmod("g", n)).alias("a"))
+    rows = rows.select("doc_id", "text", "words", "n", "a", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    place = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(place, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(made_periodic(_table(spark, sf_dir, "documents")))
+
+    def strength(run):
+        # Doubles tell quotients of numbers below 2**26 apart.
+        return F.struct(
+            (run["length"] / run["period"]).alias("exponent"), (-run["start"]).alias("s"), (-run["period"]).alias("p"), run.alias("run")
+        )
+
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    best = F.array_max(F.transform("runs", strength))["run"]
+    rows = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        *(F.col("best")[c].alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _ready(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_bpe,
         op10_simhash,
         op11_repair,
+        op13_runs,
     ]
     return {query.__name__: _ready(query) for query in named}
 

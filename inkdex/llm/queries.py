@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.llm import bpe, covertree, digests, extraction, idcoder, mixing, ppm, redirects, repair, runs, simhash, toxicity
+from inkdex.llm import bpe, covertree, digests, extraction, idcoder, langid, mixing, ppm, redirects, repair, runs, simhash, toxicity
 from inkdex.llm.common import WORD_PATTERN, find_package, remainder
 from inkdex.session import new_folder
 
@@ -113,6 +113,13 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    learned = remainder(F.col("doc_id"), 5) != 0
+    found = langid.identify(docs, langid.fit(docs.where(learned), F.col("lang")))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def made_periodic(docs: DataFrame) -> DataFrame:
     """(doc_id, text); every tenth document by crc32 of its id goes on in a short period from some word on."""
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -172,6 +179,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_bpe,
         op10_simhash,
         op11_repair,
+        op12_langid,
         op13_runs,
     ]
     return {query.__name__: _ready(query) for query in named}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -293,6 +294,89 @@ def match_offsets_parts(spark, sf_dir):
     return ix.match_offsets(_conversations(spark, sf_dir), "of the")
 
 
+def _positional(spark: SparkSession, sf_dir: str) -> ix.Index:
+    """Index of the documents with positional postings."""
+    out = _built(spark, sf_dir)[0]
+    _once(spark, sf_dir, "positions", lambda: ix.build_positions(_documents(spark, sf_dir), out))
+    return ix.load_index(spark, out, positions=True)
+
+
+def _phrase_by_positions(query: str, limit: int | None = None):
+    """No text is read: there are no documents to read it from."""
+    return lambda spark, sf_dir: _rounded(ix.phrase_search(_positional(spark, sf_dir), None, query, limit), "score")
+
+
+def phrase_search_batch_positions(spark, sf_dir):
+    return _rounded(ix.phrase_search_batch(_positional(spark, sf_dir), None, _queries(spark)), "score")
+
+
+def phrase_search_batch_benchmark_positions(spark, sf_dir):
+    return _rounded(ix.phrase_search_batch(_positional(spark, sf_dir), None, _benchmark_queries(spark, sf_dir)), "score")
+
+
+def match_count_positions(spark, sf_dir):
+    return ix.match_counts(_documents(spark, sf_dir), "of the", _positional(spark, sf_dir))
+
+
+def match_count_word_positions(spark, sf_dir):
+    return ix.match_counts(_documents(spark, sf_dir), "the", _positional(spark, sf_dir))
+
+
+def _lines_of(docs: DataFrame) -> DataFrame:
+    """Documents cut into rows at line breaks."""
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("part", "text"))
+
+
+def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as documents of several rows, as they are stored."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("part"), "text")
+
+
+def _turns_index(spark: SparkSession, sf_dir: str) -> ix.Index:
+    def make():
+        out, turns = new_folder(spark, "turns"), _turns(spark, sf_dir)
+        ix.build_index(turns, out, whole=False)
+        ix.build_positions(turns, out)
+        return out
+
+    return ix.load_index(spark, _once(spark, sf_dir, "turns", make), positions=True)
+
+
+def phrase_search_lines(spark, sf_dir):
+    """A phrase over the edges of rows; the rows are not put together."""
+    index = replace(_turns_index(spark, sf_dir), positions=None)
+    return _rounded(ix.phrase_search(index, _turns(spark, sf_dir), "of the"), "score")
+
+
+def phrase_search_lines_positions(spark, sf_dir):
+    """The same from the positional postings of the rows."""
+    return _rounded(ix.phrase_search(_turns_index(spark, sf_dir), None, "of the"), "score")
+
+
+def phrase_search_batch_lines(spark, sf_dir):
+    index = replace(_turns_index(spark, sf_dir), positions=None)
+    return _rounded(ix.phrase_search_batch(index, _turns(spark, sf_dir), _queries(spark)), "score")
+
+
+def match_offsets_lines(spark, sf_dir):
+    return ix.match_offsets(_turns(spark, sf_dir), "of the")
+
+
+def match_offsets_split_documents(spark, sf_dir):
+    """Documents cut into lines have the same matches as whole ones."""
+    return ix.match_offsets(_lines_of(_documents(spark, sf_dir)), "the")
+
+
+def match_count_lines(spark, sf_dir):
+    return ix.match_counts(_lines_of(_documents(spark, sf_dir)), "of the")
+
+
+def title_extract_parts(spark, sf_dir):
+    """Headers over lines that are rows."""
+    return ix.extract_titles(_lines_of(_with_headers(spark, sf_dir)))
+
+
 def document_fetch_blank(spark, sf_dir):
     """Fetched documents of which every third holds nothing but blanks."""
     docs = _documents(spark, sf_dir)
@@ -470,6 +554,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         search_long,
         phrase_search_parts,
         match_offsets_parts,
+        phrase_search_batch_positions,
+        phrase_search_batch_benchmark_positions,
+        match_count_positions,
+        match_count_word_positions,
+        phrase_search_lines,
+        phrase_search_lines_positions,
+        phrase_search_batch_lines,
+        match_offsets_lines,
+        match_offsets_split_documents,
+        match_count_lines,
+        title_extract_parts,
         document_fetch_blank,
         ids_from_names,
         malformed_tokens,
@@ -486,6 +581,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "phrase_search_top": _phrase("of the", 100),
         "phrase_search_quoted": _phrase('"and of the"'),
         "phrase_search_single": _phrase('"license"'),
+        "phrase_search_positions": _phrase_by_positions("of the"),
+        "phrase_search_positions_top": _phrase_by_positions('"of the"', 100),
     } | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
@@ -610,7 +707,26 @@ def oracle_sql() -> dict[str, str]:
     first = "(SELECT * FROM documents ORDER BY CAST(doc_id AS VARCHAR) LIMIT 100)"
     term_totals = f"{_IDX} SELECT term, CAST(sum(n) AS BIGINT) AS n FROM tc GROUP BY term"
     tfidf_rows = f"{_IDX} SELECT term, doc_id, round(tfidf, 9) AS tfidf FROM idx"
+    batch_phrases = f"WITH {_phrase_ctes(_values())} SELECT query_id, doc_id, round(score, 9) AS score FROM shown"
+    items = f"WITH {_phrase_ctes(_BENCHMARK)} SELECT query_id, doc_id, round(score, 9) AS score FROM shown"
+    talks = f"WITH {_TALKS}, {_phrase_ctes(_one('of the'), 'talks')} SELECT doc_id, round(score, 9) AS score FROM shown"
+    talk_matches = f"WITH {_TALKS}, {of_the.replace('FROM documents', 'FROM talks')} SELECT * FROM offsets"
+    counted = "SELECT doc_id, CAST(len(regexp_extract_all(text, '{p}')) AS INTEGER) AS n_matches FROM documents"
     return {
+        "phrase_search_batch_positions": batch_phrases,
+        "phrase_search_batch_benchmark_positions": items,
+        "match_count_positions": counted.replace("{p}", _OF_THE),
+        "match_count_word_positions": counted.replace("{p}", _THE),
+        "phrase_search_lines": talks,
+        "phrase_search_lines_positions": talks,
+        "phrase_search_batch_lines": f"""WITH {_TALKS}, {_phrase_ctes(_values(), "talks")}
+            SELECT query_id, doc_id, round(score, 9) AS score FROM shown""",
+        "match_offsets_lines": talk_matches,
+        "match_offsets_split_documents": f"WITH {_MATCHES.replace('{p}', _THE)} SELECT * FROM offsets",
+        "match_count_lines": counted.replace("{p}", _OF_THE),
+        "title_extract_parts": f"WITH {_HEADERS} SELECT doc_id, title FROM headed",
+        "phrase_search_positions": _phrase_sql("of the"),
+        "phrase_search_positions_top": f"{_phrase_sql('of the')} ORDER BY shown.score DESC, doc_id LIMIT 100",
         "term_frequency": f"{_IDX} SELECT doc_id, term, n FROM tc",
         "term_frequency_by_parts": f"WITH {turns} SELECT doc_id, term, n FROM tc",
         "doc_length": f"{_IDX} SELECT doc_id, doc_len FROM dl",

@@ -12,17 +12,19 @@ from inkdex.operators.index import (
     vocabulary_size,
 )
 from inkdex.operators.matches import match_counts, match_navigation, match_offsets, nest_offsets
+from inkdex.operators.positions import phrase_counts, phrase_starts, term_positions
 from inkdex.operators.postings import Index
 from inkdex.operators.search import phrase_search, phrase_search_batch, search, search_batch
 from inkdex.operators.titles import (
     as_displayed,
     extract_titles,
     found_titles,
+    heads,
     lookup_titles,
     remember_titles,
     resolve_titles,
 )
-from inkdex.plans.build import build_index, load_index
+from inkdex.plans.build import build_index, build_positions, load_index
 from inkdex.sources.corpus import (
     PRESETS,
     corpus_manifest,

@@ -21,8 +21,8 @@ BANNER_LINE = r"(?s)^(.*?)(?:This eBook|\n|\z)"
 UNTITLED_PREFIX = "Book #"
 
 
-def head(text: Column) -> Column:
-    return F.substring(text, 1, HEAD_CHARACTERS)
+def head(text: Column, characters: int = HEAD_CHARACTERS) -> Column:
+    return F.substring(text, 1, characters)
 
 
 def _first_mark(text: Column, marks: list[str]) -> list[Column]:
@@ -31,7 +31,7 @@ def _first_mark(text: Column, marks: list[str]) -> list[Column]:
 
 
 def _rest(text: Column, start: Column) -> Column:
-    return text.substr(start, F.lit(HEAD_CHARACTERS))
+    return text.substr(start, F.length(text))
 
 
 def title_from_head(text: Column) -> Column:

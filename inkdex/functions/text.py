@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # These decide which tokens, ids and matches exist, so they must not change.
 SEPARATORS = "[^a-zA-Z0-9]+"
 TOKEN = "[a-z0-9]+"
+TOKEN_ANY_CASE = "[A-Za-z0-9]+"
 DOCUMENT_SUFFIX = ".txt"
 WORD_CHARACTERS = "A-Za-z0-9_"
 SCORE_FORMAT = "%.6f"

@@ -15,13 +15,14 @@ BLOCK_POSTINGS = 65_536
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Give a plain scan of few input splits one partition per core.
+    """Deal a plain scan of few input splits evenly to the cores.
 
-    A table of a few large row groups would leave most cores idle while it is tokenised. A scan with
-    at least as many splits as cores, as any large one has, is returned unchanged, and so is one without any.
+    Splits are cut by bytes, but a row group is read by one of them: of a table of a few large row groups most splits
+    are empty, and most cores would be idle. A scan of at least twice as many splits as cores, as any large one
+    has, is returned unchanged, and so is one without any.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if 0 < rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if 0 < rows.rdd.getNumPartitions() < 2 * cores else rows
 
 
 def term_frequencies(docs: DataFrame, whole: bool = True) -> DataFrame:

@@ -6,19 +6,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import phrase_regex, split_terms
+from inkdex.operators.index import spread
+from inkdex.operators.parts import has_parts, part_matches, part_offsets
+from inkdex.operators.positions import phrase_counts
+from inkdex.operators.postings import Index
 
 
-def match_counts(docs: DataFrame, query: str | None) -> DataFrame:
-    """``(doc_id, n_matches)`` of every document; a query without tokens has no matches."""
+def match_counts(docs: DataFrame, query: str | None, index: Index | None = None) -> DataFrame:
+    """``(doc_id, n_matches)`` of every document; a query without tokens has no matches.
+
+    With the positional postings of an ``index`` no text is read, only the ids of ``docs``. With a column ``part`` a
+    row is a part of a document, and each document is counted once.
+    """
     terms = split_terms(query)
-    n = F.regexp_count("text", F.lit(phrase_regex(terms))) if terms else F.lit(0)
-    return docs.select("doc_id", n.alias("n_matches"))
+    if not terms:
+        none = docs.select("doc_id", F.lit(0).alias("n_matches"))
+        return none.distinct() if has_parts(docs) else none
+    if index is not None and index.positions is not None:
+        found = phrase_counts(index.positions_of(terms), terms)
+    elif has_parts(docs):
+        found = part_matches(docs, terms).groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("n_matches"))
+    else:
+        return spread(docs.select("doc_id", "text")).select("doc_id", F.regexp_count("text", F.lit(phrase_regex(terms))).alias("n_matches"))
+    ids = docs.select("doc_id")
+    if has_parts(docs):
+        ids = ids.distinct()
+    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("n_matches", F.lit(0)).alias("n_matches"))
 
 
 def match_offsets(docs: DataFrame, query: str | None) -> DataFrame:
     """``(doc_id, match_no, n_matches, start, end, matched)``, one row per match in text order.
 
-    ``[start, end)`` counts characters (code points) from 0. A row of ``docs`` is a whole document.
+    ``[start, end)`` counts characters (code points) from 0. A row of ``docs`` is a whole document, or with a
+    column ``part`` a part of one; the parts in order are joined by line breaks, over which matches may go.
 
     The text is cut at the matches; the place of a match is the sum of the lengths before it. Only
     lengths leave the row of the text, and they are summed by a window over the document.
@@ -26,11 +46,14 @@ def match_offsets(docs: DataFrame, query: str | None) -> DataFrame:
     terms = split_terms(query)
     if not terms:
         return _offsets(docs.where(F.lit(False)), "$^")
+    if has_parts(docs):
+        return part_offsets(docs, terms)
     return _offsets(docs, phrase_regex(terms))
 
 
 def _offsets(docs: DataFrame, regex: str) -> DataFrame:
-    found = docs.select("doc_id", "text", F.regexp_extract_all("text", F.lit(regex), F.lit(0)).alias("matched"))
+    texts = spread(docs.select("doc_id", "text"))
+    found = texts.select("doc_id", "text", F.regexp_extract_all("text", F.lit(regex), F.lit(0)).alias("matched"))
     # A text without a match is not searched a second time.
     gaps = F.when(F.size("matched") > 0, F.transform(F.split("text", regex), F.length)).alias("gap")
     cut = found.select("doc_id", F.size("matched").alias("n_matches"), "matched", gaps).select(

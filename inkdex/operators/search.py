@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import phrase_pattern, phrase_regex, split_terms, tokens
+from inkdex.operators.index import spread
 from inkdex.operators.joins import join_blocks, join_by_weight
+from inkdex.operators.parts import has_parts, part_matches
+from inkdex.operators.positions import BLOCK_TOKENS, phrase_starts, starts_of, term_positions
 from inkdex.operators.postings import Index
 from inkdex.session import settle, settle_sized
 
@@ -63,24 +66,42 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
     return found.where(F.size("parts") == len(known)).select("doc_id", total.alias("score"))
 
 
-def phrase_search(index: Index | DataFrame, docs: DataFrame, query: str | None, limit: int | None = None) -> DataFrame:
+def phrase_search(index: Index | DataFrame, docs: DataFrame | None, query: str | None, limit: int | None = None) -> DataFrame:
     """``(doc_id, score)`` of all documents that an end user's query finds, best first.
 
     With one term this is ``search``. With more, quoted or not, the terms must also stand next to
-    each other in the text. ``limit`` keeps that many of the best. A row of ``docs`` is a whole
-    document; ``join_lines`` makes one of several rows.
+    each other in the text. ``limit`` keeps that many of the best.
 
-    The pattern is tested in the scan of the texts and only ids are joined to the hits, so no text is exchanged.
+    If the index has positional postings, the phrase is found in them, no text is read and ``docs`` may be None.
+    Otherwise the pattern is tested in the scan of the texts and only ids are joined to the hits, so no text is exchanged.
+    A row of ``docs`` is a whole document, or a part of one if there is a column ``part``; phrases go over its edges.
     """
-    terms = split_terms(query)
-    hits = _hits(Index.of(index), terms)
+    index, terms = Index.of(index), split_terms(query)
+    hits = _hits(index, terms)
     if len(terms) > 1:
-        adjacent = docs.where(F.col("text").rlike(phrase_regex(terms))).select("doc_id").distinct()
+        if index.positions is not None:
+            hits, rows = _near_hits(index, hits, terms)
+            adjacent = phrase_starts(rows, terms).select("doc_id").distinct()
+        elif has_parts(docs):
+            adjacent = part_matches(docs, terms).select("doc_id").distinct()
+        else:
+            texts = spread(docs.select("doc_id", "text"))
+            adjacent = texts.where(F.col("text").rlike(phrase_regex(terms))).select("doc_id").distinct()
         hits = hits.join(adjacent, "doc_id", "left_semi")
     found = best_first(hits)
     return found if limit is None else found.limit(limit)
 
 
+def _near_hits(index: Index, hits: DataFrame, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Hits, and at least the positions of the terms in them: few hits filter the positions of common terms where they lie."""
+    rows = index.positions_of(list(dict.fromkeys(terms)))
+    if sum(index.frequencies(list(dict.fromkeys(terms))).values()) > GROUPED_POSTINGS:
+        hits, small = settle_sized(hits, "hits")
+        if small:
+            rows = rows.join(F.broadcast(hits.select("doc_id")), "doc_id", "left_semi")
+    return hits, rows
+
+
 def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None = None) -> DataFrame:
     """``search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``.
 
@@ -91,41 +112,70 @@ def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None =
 
 
 def phrase_search_batch(
-    index: Index | DataFrame, docs: DataFrame, queries: DataFrame, limit: int | None = None
+    index: Index | DataFrame, docs: DataFrame | None, queries: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """``phrase_search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``.
 
-    ``limit`` keeps that many of the best of each query that is a phrase.
+    ``limit`` keeps that many of the best of each query that is a phrase. If the index has positional postings,
+    no text is read and ``docs`` may be None; for documents of several rows without them, those of the hits are made.
     """
-    hits, small = settle_sized(_with_patterns(_batch_hits(Index.of(index), queries), queries), "hits")
-    phrases = hits.where("pattern is not null")
-    if small:
-        phrases = F.broadcast(phrases)
-    found = docs.select("doc_id", "text").join(phrases, "doc_id").where(F.expr("text rlike pattern"))
-    best = found.select("query_id", "doc_id", "score")
+    index = Index.of(index)
+    hits, small = settle_sized(_with_phrases(_batch_hits(index, queries), queries), "hits")
+    phrases = hits.where("terms IS NOT NULL")
+    if index.positions is not None:
+        terms, few = settle_sized(phrases.select(F.explode("terms").alias("term")).distinct(), "terms")
+        best = _standing_together(index.positions_near(terms, few), phrases)
+    elif has_parts(docs):
+        found = phrases.select("doc_id").distinct()
+        texts = docs.join(F.broadcast(found) if small else found, "doc_id", "left_semi")
+        best = _standing_together(settle(term_positions(texts), "positions"), phrases)
+    else:
+        patterns = phrases.select("query_id", "doc_id", "score", phrase_pattern(F.col("terms")).alias("pattern"))
+        patterns = F.broadcast(patterns) if small else patterns
+        best = docs.select("doc_id", "text").join(patterns, "doc_id").where(F.expr("text rlike pattern"))
+        best = best.select("query_id", "doc_id", "score")
     if limit is not None:
         best = _best(best, limit).drop("rank")
-    words = hits.where("pattern is null").select("query_id", "doc_id", "score")
+    words = hits.where("terms IS NULL").select("query_id", "doc_id", "score")
     return best_first(words.unionByName(best), "query_id")
 
 
-def _with_patterns(hits: DataFrame, queries: DataFrame) -> DataFrame:
-    """Hits with the pattern of their query as a phrase, null for a query of one token."""
+def _standing_together(positions: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Those hits ``(query_id, doc_id, score, terms)`` whose terms stand next to each other, by positional postings."""
+    wanted = phrases.select("query_id", "doc_id", "score", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
+    wanted, few = settle_sized(wanted, "wanted")
+    met = positions.select("term", "doc_id", "block", "at").join(F.broadcast(wanted) if few else wanted, ["term", "doc_id"])
+    return starts_of(met, ["query_id", "doc_id", "score"], BLOCK_TOKENS).select("query_id", "doc_id", "score").distinct()
+
+
+def _with_phrases(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """Hits with the ``terms`` of their query in order, null for a query of one token."""
     cut = queries.select("query_id", tokens(F.col("query")).alias("terms"))
-    pattern = F.when(F.size("terms") > 1, phrase_pattern(F.col("terms"))).alias("pattern")
-    patterns, few = settle_sized(cut.select("query_id", pattern), "patterns")
+    phrases, few = settle_sized(cut.select("query_id", F.when(F.size("terms") > 1, F.col("terms")).alias("terms")), "phrases")
     if few:
-        return hits.join(F.broadcast(patterns), "query_id")
+        return hits.join(F.broadcast(phrases), "query_id")
     # A query may have most of the hits.
     hits = settle(hits, "hits")
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"))
-    patterns = settle(patterns.join(counts, "query_id"), "patterns")
-    return join_by_weight(hits, patterns, "query_id", "n_hits").drop("n_hits")
+    phrases = settle(phrases.join(counts, "query_id"), "phrases")
+    return join_by_weight(hits, phrases, "query_id", "n_hits").drop("n_hits")
+
+
+# Places up to which Spark drops the other rows of a group in every partition, before they are exchanged.
+PARTIAL_RANKS = 1000
+
+# Groups that the hits of a query are ranked in first if more places are asked for.
+RANK_BLOCKS = 256
 
 
 def _best(hits: DataFrame, top: int) -> DataFrame:
-    """The ``top`` best hits of each query; each partition keeps no more than that before the exchange."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    """The ``top`` best hits of each query; no more than that of a partition or block are ranked together."""
+    best_of = [F.desc("score"), F.col("doc_id")]
+    if top > PARTIAL_RANKS:
+        block = F.pmod(F.xxhash64("doc_id"), F.lit(RANK_BLOCKS)).alias("block")
+        place = F.row_number().over(Window.partitionBy("query_id", "block").orderBy(*best_of))
+        hits = hits.select("*", block).withColumn("place", place).where(F.col("place") <= top).drop("block", "place")
+    order = Window.partitionBy("query_id").orderBy(*best_of)
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
 

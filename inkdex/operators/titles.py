@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.functions.headers import head, title_from_head, untitled
+from inkdex.functions.headers import HEAD_CHARACTERS, head, title_from_head, untitled
 from inkdex.functions.text import score_text
+from inkdex.operators.parts import has_parts, part_heads
 from inkdex.session import settle, settle_sized
 
 
-def extract_titles(docs: DataFrame) -> DataFrame:
-    """``(doc_id, title)`` from the header of each text, null where there is none."""
-    return docs.select("doc_id", head(F.col("text")).alias("head")).select("doc_id", title_from_head(F.col("head")).alias("title"))
+def heads(docs: DataFrame, characters: int = HEAD_CHARACTERS) -> DataFrame:
+    """``(doc_id, head)``: the first ``characters`` of each document, over its rows if there is a column ``part``."""
+    if has_parts(docs):
+        return part_heads(docs, characters)
+    return docs.select("doc_id", head(F.col("text"), characters).alias("head"))
+
+
+def extract_titles(docs: DataFrame, characters: int = HEAD_CHARACTERS) -> DataFrame:
+    """``(doc_id, title)`` from the header of each document, null where there is none."""
+    return heads(docs, characters).select("doc_id", title_from_head(F.col("head")).alias("title"))
 
 
 def lookup_titles(results: DataFrame, titles: DataFrame) -> DataFrame:
@@ -28,8 +36,7 @@ def found_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> Data
     if small:
         missing = F.broadcast(missing)
     # An inner join keeps the cut below itself: only heads are exchanged, if anything is.
-    heads = docs.select("doc_id", head(F.col("text")).alias("head")).join(missing, "doc_id")
-    found = heads.select("doc_id", title_from_head(F.col("head")).alias("title"))
+    found = heads(docs).join(missing, "doc_id").select("doc_id", title_from_head(F.col("head")).alias("title"))
     # Stored before it is filtered, so that the extraction does not run once more in the filter.
     return settle(found, "titles").where("title is not null")
 

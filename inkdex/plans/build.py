@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from time import perf_counter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.operators.index import normalize_tf, term_frequencies, tfidf_index, vocabulary
+from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf_index, vocabulary
+from inkdex.operators.parts import has_parts
+from inkdex.operators.positions import term_positions
 from inkdex.operators.postings import Index, shard_of
 from inkdex.sources.corpus import count_documents
 
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
-TOKENS, TF, POSTINGS = "tokens", "index", "tfidf"
+TOKENS, TF, POSTINGS, POSITIONS = "tokens", "index", "tfidf", "positions"
 VOCABULARY, LAYOUT, RUNS = "vocabulary", "layout", "runs"
 RUNS_SCHEMA = "stage string, records_in bigint, records_out bigint, seconds double"
 
@@ -101,23 +103,49 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     vocabulary(tf, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
     n_postings = terms.agg(F.sum("df")).first()[0] or 0
-    shards = min(MAX_SHARDS, n_postings // SHARD_POSTINGS + 1)
-    # A small index still has a few groups for every core.
-    groups = max(n_postings // GROUP_POSTINGS, 8 * spark.sparkContext.defaultParallelism) // shards + 1
+    shards, groups = _divided(spark, n_postings)
 
     postings, written = _observed(tfidf_index(tf, n_docs, terms))
-    postings = postings.withColumn("shard", shard_of(F.col("term"), shards))
-    group = F.pmod(F.hash("term"), F.lit(groups))
-    laid_out = postings.withColumn("group", group).hint("rebalance", "shard", "group").drop("group")
-    laid_out.sortWithinPartitions("shard", "term", "doc_id").write.partitionBy("shard").mode("overwrite").parquet(
-        f"{out}/{POSTINGS}"
-    )
+    _lay_out(postings, shards, groups, ["term", "doc_id"], f"{out}/{POSTINGS}")
     settings = [F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(shards).alias("shards")]
     spark.range(1).select(settings).coalesce(1).write.mode("overwrite").parquet(f"{out}/{LAYOUT}")
     return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
 
 
-def load_index(spark: SparkSession, out: str) -> Index:
-    """The index stored below ``out``, all parts of it."""
+def _divided(spark: SparkSession, n_postings: int) -> tuple[int, int]:
+    """Shards of an index, and groups of terms in each."""
+    shards = min(MAX_SHARDS, n_postings // SHARD_POSTINGS + 1)
+    # A small index still has a few groups for every core.
+    return shards, max(n_postings // GROUP_POSTINGS, 8 * spark.sparkContext.defaultParallelism) // shards + 1
+
+
+def _lay_out(rows: DataFrame, shards: int, groups: int, order: list[str], path: str) -> None:
+    """Write rows by shard and group of terms, sorted within each file."""
+    placed = rows.withColumn("shard", shard_of(F.col("term"), shards)).withColumn("group", F.pmod(F.hash("term"), F.lit(groups)))
+    laid_out = placed.hint("rebalance", "shard", "group").drop("group")
+    laid_out.sortWithinPartitions("shard", *order).write.partitionBy("shard").mode("overwrite").parquet(path)
+
+
+def build_positions(docs: DataFrame, out: str) -> StageRun:
+    """Store the positional postings of ``docs`` beside the index below ``out``, laid out as its postings are.
+
+    A row of ``docs`` is a whole document, or a part of one if there is a column ``part``.
+    """
+    start = perf_counter()
+    spark = docs.sparkSession
+    n_postings = spark.read.parquet(f"{out}/{VOCABULARY}").agg(F.sum("df")).first()[0] or 0
+    shards, groups = _divided(spark, n_postings)
+    docs, read = _observed(docs)
+    rows, written = _observed(term_positions(docs if has_parts(docs) else spread(docs)))
+    _lay_out(rows, shards, groups, ["term", "doc_id", "block"], f"{out}/{POSITIONS}")
+    return StageRun("positions", read.get["rows"], written.get["rows"], perf_counter() - start)
+
+
+def load_index(spark: SparkSession, out: str, positions: bool = False) -> Index:
+    """The index stored below ``out``, all parts of it; with ``positions`` those that ``build_positions`` stored too."""
     layout = spark.read.parquet(f"{out}/{LAYOUT}").first()
-    return Index(spark.read.parquet(f"{out}/{POSTINGS}"), spark.read.parquet(f"{out}/{VOCABULARY}"), layout.shards)
+    index = Index(spark.read.parquet(f"{out}/{POSTINGS}"), spark.read.parquet(f"{out}/{VOCABULARY}"), layout.shards)
+    if positions:
+        rows = spark.read.parquet(f"{out}/{POSITIONS}")
+        index = replace(index, positions=rows, position_shards=layout.shards)
+    return index

@@ -1,5 +1,6 @@
 """Text indexing and ranked retrieval with Spark DataFrames."""
 
+from inkdex.operators.bounds import posting_bounds
 from inkdex.operators.index import (
     document_frequencies,
     document_lengths,
@@ -24,7 +25,7 @@ from inkdex.operators.titles import (
     remember_titles,
     resolve_titles,
 )
-from inkdex.plans.build import build_index, build_positions, load_index
+from inkdex.plans.build import build_bounds, build_index, build_positions, load_index
 from inkdex.sources.corpus import (
     PRESETS,
     corpus_manifest,

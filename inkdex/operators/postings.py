@@ -20,7 +20,8 @@ class Index:
     """Postings ``(term, doc_id, tfidf, ...)`` and vocabulary ``(term, df)``.
 
     With ``shards`` the postings are stored in that many directories by hash of the term. ``positions`` are the
-    positional postings ``(term, doc_id, block, at)``, if there are any, stored in ``position_shards``.
+    positional postings ``(term, doc_id, block, at)``, if there are any, stored in ``position_shards``, and ``bounds``
+    the greatest weights ``(term, block, most, n)`` in blocks of documents, dealt by ``spread``.
     """
 
     postings: DataFrame
@@ -28,6 +29,8 @@ class Index:
     shards: int | None = None
     positions: DataFrame | None = None
     position_shards: int | None = None
+    bounds: DataFrame | None = None
+    spread: int | None = None
 
     @staticmethod
     def of(index: Index | DataFrame) -> Index:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import phrase_pattern, phrase_regex, split_terms, tokens
+from inkdex.operators.bounds import FREQUENT, MORE, ROOM, document_block, promising, query_blocks, still_open
 from inkdex.operators.index import spread
 from inkdex.operators.joins import join_blocks, join_by_weight
 from inkdex.operators.parts import has_parts, part_matches
@@ -105,10 +108,37 @@ def _near_hits(index: Index, hits: DataFrame, terms: list[str]) -> tuple[DataFra
 def search_batch(index: Index | DataFrame, queries: DataFrame, top: int | None = None) -> DataFrame:
     """``search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``.
 
-    With ``top`` only the best results of each query are kept, numbered by ``rank``.
+    With ``top`` only the best results of each query are kept, numbered by ``rank``. If the index has bounds, postings of
+    blocks of documents that cannot hold any of the best are neither joined nor grouped.
     """
-    hits = _batch_hits(Index.of(index), queries)
-    return best_first(hits if top is None else _best(hits, top), "query_id")
+    index = Index.of(index)
+    if top is None:
+        return best_first(_batch_hits(index, _Asked.of(index, queries)), "query_id")
+    asked = _Asked.of(index, queries)
+    if index.bounds is None:
+        return best_first(_best(_batch_hits(index, asked), top), "query_id")
+    # A query of a rare term has few candidates as it is.
+    bounded = F.col("df") >= FREQUENT
+    groups = asked.leads.groupBy(bounded.alias("bounded")).count().collect()
+    found = [
+        _best_of_blocks(index, asked.only(bounded), top) if row.bounded else _best(_batch_hits(index, asked.only(~bounded)), top)
+        for row in groups
+    ]
+    if not found:
+        return best_first(_best(_batch_hits(index, asked), top), "query_id")
+    return best_first(reduce(DataFrame.unionByName, found), "query_id")
+
+
+def _best_of_blocks(index: Index, asked: _Asked, top: int) -> DataFrame:
+    """The best hits: those of the most promising blocks of documents, then, in growing steps, of those that can still hold better ones."""
+    best, room = None, ROOM * top
+    left = settle(query_blocks(index.bounds, asked.known), "blocks")
+    while best is None or not left.isEmpty():
+        blocks = settle(promising(left, room), "blocks")
+        found = _best(_batch_hits(index, asked, blocks.where("first").select("query_id", "block")), top)
+        best = settle(found if best is None else _best(best.unionByName(found).drop("rank"), top), "best")
+        left, room = settle(still_open(blocks, best, top), "open"), MORE * room
+    return best
 
 
 def phrase_search_batch(
@@ -120,7 +150,7 @@ def phrase_search_batch(
     no text is read and ``docs`` may be None; for documents of several rows without them, those of the hits are made.
     """
     index = Index.of(index)
-    hits, small = settle_sized(_with_phrases(_batch_hits(index, queries), queries), "hits")
+    hits, small = settle_sized(_with_phrases(_batch_hits(index, _Asked.of(index, queries)), queries), "hits")
     phrases = hits.where("terms IS NOT NULL")
     if index.positions is not None:
         terms, few = settle_sized(phrases.select(F.explode("terms").alias("term")).distinct(), "terms")
@@ -186,15 +216,49 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return rows.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"), F.min("pos").alias("pos"))
 
 
-def _batch_hits(index: Index, queries: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score)``, unordered; two queries of one id are an error."""
-    if not queries.groupBy("query_id").count().where("count > 1").isEmpty():
-        raise ValueError("query_id must be unique")
-    terms, few_terms = settle_sized(query_terms(queries), "terms")
-    leads, few_leads = settle_sized(_leads(_known(index, terms, few_terms)), "leads")
-    postings = index.postings_near(terms, few_terms).select("term", "doc_id", "tfidf")
-
-    candidates = _candidates(postings, leads, few_leads)
+@dataclass(frozen=True)
+class _Asked:
+    """A table of queries as search sees it: its terms, those that the index knows, and one row per query that has any."""
+
+    terms: DataFrame
+    few_terms: bool
+    known: DataFrame
+    leads: DataFrame
+    few_leads: bool
+
+    @staticmethod
+    def of(index: Index, queries: DataFrame) -> _Asked:
+        """Two queries of one id are an error."""
+        if not queries.groupBy("query_id").count().where("count > 1").isEmpty():
+            raise ValueError("query_id must be unique")
+        terms, few_terms = settle_sized(query_terms(queries), "terms")
+        known = _known(index, terms, few_terms)
+        leads, few_leads = settle_sized(_leads(known), "leads")
+        known = known.select("query_id", "term", "weight").join(leads.select("query_id", "n_known"), "query_id")
+        return _Asked(terms, few_terms, known, leads, few_leads)
+
+    def only(self, condition: Column) -> _Asked:
+        """The queries whose row in ``leads`` meets a condition."""
+        leads = self.leads.where(condition)
+        return replace(self, leads=leads, known=self.known.join(leads.select("query_id"), "query_id", "left_semi"))
+
+
+def _batch_hits(index: Index, asked: _Asked, allowed: DataFrame | None = None) -> DataFrame:
+    """``(query_id, doc_id, score)``, unordered; ``allowed`` (query_id, block) names the blocks to search, all if None."""
+    leads, few_leads = asked.leads, asked.few_leads
+    postings = index.postings_near(asked.terms, asked.few_terms)
+    if allowed is None:
+        candidates = _candidates(postings.select("term", "doc_id", "tfidf"), leads, few_leads)
+    else:
+        allowed, few = settle_sized(allowed, "allowed")
+        # First by what any query allows of a term, where the postings lie; then by query.
+        lists = asked.known.select("query_id", "term").join(F.broadcast(allowed) if few else allowed, "query_id")
+        lists, few_lists = settle_sized(lists.select("term", "block").distinct(), "lists")
+        postings = postings.withColumn("block", document_block(F.col("doc_len"), F.col("doc_id"), index.spread))
+        postings = postings.join(F.broadcast(lists) if few_lists else lists, ["term", "block"], "left_semi")
+        candidates = _candidates(postings.select("term", "doc_id", "tfidf", "block"), leads, few_leads)
+        candidates = candidates.join(F.broadcast(allowed) if few else allowed, ["query_id", "block"], "left_semi")
+    postings = postings.select("term", "doc_id", "tfidf")
     weighted = F.col("tfidf") * F.col("weight")
     part = F.named_struct(F.lit("pos"), "pos", F.lit("score"), weighted)
     single = candidates.where("n_known = 1").select("query_id", "doc_id", weighted.alias("score"))

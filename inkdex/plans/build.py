@@ -8,6 +8,7 @@ from time import perf_counter
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from inkdex.operators.bounds import posting_bounds, spread_for
 from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf_index, vocabulary
 from inkdex.operators.parts import has_parts
 from inkdex.operators.positions import term_positions
@@ -16,7 +17,7 @@ from inkdex.sources.corpus import count_documents
 
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
-TOKENS, TF, POSTINGS, POSITIONS = "tokens", "index", "tfidf", "positions"
+TOKENS, TF, POSTINGS, POSITIONS, BOUNDS = "tokens", "index", "tfidf", "positions", "bounds"
 VOCABULARY, LAYOUT, RUNS = "vocabulary", "layout", "runs"
 RUNS_SCHEMA = "stage string, records_in bigint, records_out bigint, seconds double"
 
@@ -106,7 +107,9 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     shards, groups = _divided(spark, n_postings)
 
     postings, written = _observed(tfidf_index(tf, n_docs, terms))
-    _lay_out(postings, shards, groups, ["term", "doc_id"], f"{out}/{POSTINGS}")
+    # By length within a term, as the best results are sought.
+    order = ["term", *(["doc_len"] if "doc_len" in postings.columns else []), "doc_id"]
+    _lay_out(postings, shards, groups, order, f"{out}/{POSTINGS}")
     settings = [F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(shards).alias("shards")]
     spark.range(1).select(settings).coalesce(1).write.mode("overwrite").parquet(f"{out}/{LAYOUT}")
     return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
@@ -141,11 +144,22 @@ def build_positions(docs: DataFrame, out: str) -> StageRun:
     return StageRun("positions", read.get["rows"], written.get["rows"], perf_counter() - start)
 
 
-def load_index(spark: SparkSession, out: str, positions: bool = False) -> Index:
-    """The index stored below ``out``, all parts of it; with ``positions`` those that ``build_positions`` stored too."""
+def build_bounds(spark: SparkSession, out: str) -> None:
+    """Store the bounds of the index below ``out`` beside it, from its own postings."""
+    n_docs = spark.read.parquet(f"{out}/{LAYOUT}").first().n_docs
+    rows = posting_bounds(spark.read.parquet(f"{out}/{POSTINGS}"), spread_for(n_docs))
+    rows.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{out}/{BOUNDS}")
+
+
+def load_index(spark: SparkSession, out: str, positions: bool = False, bounds: bool = False) -> Index:
+    """The index stored below ``out``, all parts of it; with ``positions`` and ``bounds`` what ``build_positions`` and ``build_bounds`` stored."""
     layout = spark.read.parquet(f"{out}/{LAYOUT}").first()
     index = Index(spark.read.parquet(f"{out}/{POSTINGS}"), spark.read.parquet(f"{out}/{VOCABULARY}"), layout.shards)
     if positions:
         rows = spark.read.parquet(f"{out}/{POSITIONS}")
         index = replace(index, positions=rows, position_shards=layout.shards)
+    if bounds:
+        rows = spark.read.parquet(f"{out}/{BOUNDS}")
+        kept = rows.select("spread").head()
+        index = replace(index, bounds=rows, spread=kept.spread if kept else 1)
     return index

@@ -1,11 +1,16 @@
 import itertools
 import re
+from dataclasses import replace
+from functools import reduce
 
 import pytest
 from conftest import ordered, rows
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 import inkdex as ix
 from inkdex import session
+from inkdex.operators import bounds
 from inkdex.operators import search as search_module
 
 SEARCH = {
@@ -163,3 +168,57 @@ def test_phrase_results_are_search_results(library):
 def test_best_of_a_query_is_cut_before_the_exchange(index, asked):
     plan = ix.search_batch(index, asked, top=2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")
+
+
+@pytest.fixture(scope="module")
+def long_and_short(spark, tmp_path_factory):
+    """Index with bounds of documents of very different lengths."""
+    out = str(tmp_path_factory.mktemp("bounded"))
+    texts = [(n, " ".join(f"w{(n * m) % 97} of the" if m % 3 == 0 else f"w{m % 50}" for m in range(1 + (n * n) % 400))) for n in range(400)]
+    texts += [(1000 + n, "of the" if n < 3 else "another") for n in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    ix.build_index(docs, out)
+    index = ix.load_index(spark, out)
+    return replace(index, bounds=bounds.posting_bounds(index.postings, 8, 20).cache(), spread=8)
+
+
+ASKED = ["of the", "of", "the of the w3", "w7 w9 of", "zzz", "w96 w1 of the", " ", "of zzz"]
+
+
+@pytest.mark.parametrize("top", [3, 5000])
+def test_bounds_change_no_result(spark, long_and_short, top, monkeypatch):
+    monkeypatch.setattr(search_module, "FREQUENT", 20)
+    queries = spark.createDataFrame(list(enumerate(ASKED)), "query_id bigint, query string")
+    plain = ix.search_batch(replace(long_and_short, bounds=None), queries, top)
+    assert ordered(ix.search_batch(long_and_short, queries, top)) == ordered(plain)
+
+
+def test_bounds_leave_most_postings_out(spark, long_and_short, monkeypatch):
+    """Of the documents that hold both terms a fifth at most is in blocks that are searched."""
+    searched, hits = [], search_module._batch_hits
+
+    def watched(index, asked, allowed=None):
+        searched.append(allowed.select("block"))
+        return hits(index, asked, allowed)
+
+    monkeypatch.setattr(search_module, "_batch_hits", watched)
+    queries = spark.createDataFrame([(1, "of the")], "query_id bigint, query string")
+    asked = search_module._Asked.of(long_and_short, queries)
+    assert search_module._best_of_blocks(long_and_short, asked, 5).count() == 5
+    rows = long_and_short.postings_of(["of", "the"])
+    place = bounds.document_block(F.col("doc_len"), F.col("doc_id"), long_and_short.spread)
+    inside = rows.withColumn("block", place).join(reduce(DataFrame.union, searched).distinct(), "block")
+    assert 0 < inside.count() <= rows.count() / 5
+
+
+def test_no_bound_is_below_a_score(long_and_short):
+    place = bounds.document_block(F.col("doc_len"), F.col("doc_id"), long_and_short.spread)
+    rows = long_and_short.postings.withColumn("block", place).join(long_and_short.bounds, ["term", "block"])
+    assert rows.where("tfidf > most").isEmpty() and not rows.isEmpty()
+
+
+def test_ranks_beyond_the_partial_ones(spark, index, monkeypatch):
+    monkeypatch.setattr(search_module, "PARTIAL_RANKS", 1)
+    queries = spark.createDataFrame([(1, "the"), (2, "wizard")], "query_id bigint, query string")
+    found = ordered(ix.search_batch(index, queries, top=2))
+    assert [(q, d, r) for q, d, _, r in found] == [(1, "1", 1), (1, "10", 2), (2, "1", 1), (2, "10", 2)]

@@ -43,6 +43,25 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(divisor).cast("bigint"))
 
 
+def remove(stored: DataFrame) -> None:
+    """Remove the folder of a table that ``settle`` wrote, once nothing reads it any more."""
+    files = stored.inputFiles()
+    if files:
+        spark = stored.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it no column of ``df``, whatever the case of letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of, count_words, numbered
+from inkdex.llm.common import batch_of, count_words, numbered, unused
 from inkdex.operators.joins import join_by_weight
 from inkdex.session import settle, settle_sized
 
@@ -210,8 +210,9 @@ def repeat_taken(docs: DataFrame, **settings) -> DataFrame:
     mixed = mixed.agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
     times = F.when(F.col("size") == 0, 1).when(F.col("taken") == 0, 0)
     times = times.otherwise(F.greatest(F.round(F.col("taken") / F.greatest("size", F.lit(1))), F.lit(1))).cast("int")
-    mixed = mixed.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), times.alias("_times"))
+    own_id, own_tag, number, copy = unused(docs, "_id", "_tag", "_times", "_copy")
+    mixed = mixed.select(F.col("doc_id").alias(own_id), F.col("tag").alias(own_tag), times.alias(number))
     mixed, small = settle_sized(mixed, "times")
-    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_tag(settings.get("seed", SEED)) == F.col("_tag"))
-    joined = docs.join(F.broadcast(mixed) if small else mixed, own).where("_times > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*(docs[c] for c in docs.columns))
+    own = docs["doc_id"].cast("bigint").eqNullSafe(F.col(own_id)) & (text_tag(settings.get("seed", SEED)) == F.col(own_tag))
+    joined = docs.join(F.broadcast(mixed) if small else mixed, own).where(F.col(number) > 0)
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), number))).select(*(F.col(f"`{c}`") for c in docs.columns))

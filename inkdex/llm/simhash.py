@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.llm.common import batch_of, components, slices, words_of
+from inkdex.llm.common import batch_of, components, slices, unused, words_of
 from inkdex.operators.joins import join_by_weight
 from inkdex.session import settle, settle_sized
 
@@ -206,7 +206,8 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``simhash_classes`` makes the first of their group.
 
     That is the row of the smallest doc_id of each component; a row without an id only if its component has
-    none. Of several such rows in a component, one stays, that of the smallest hash of its text.
+    none. Of several such rows in a component, one stays, that of the smallest hash of its text, of equal texts that of the
+    smallest hash of its columns.
     """
     return keep_first_found(docs, settle(simhash_classes(docs, max_bits), "found"))
 
@@ -219,13 +220,19 @@ def keep_first_found(docs: DataFrame, found: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tag") == F.col("first_tag"))
     kept = rows.join(first.distinct(), same, "left")
     marks = kept.select("doc_id", "tag", "rows", F.col("first_tag").isNotNull().alias("kept")).where("NOT kept OR rows > 1")
-    marks, small = settle_sized(marks.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "kept"), "marks")
+    own_id, own_tag, kept, content = unused(docs, "_id", "_tag", "_kept", "_content")
+    marks = marks.select(F.col("doc_id").alias(own_id), F.col("tag").alias(own_tag), F.col("kept").alias(kept))
+    marks, small = settle_sized(marks, "marks")
     if small:
         marks = F.broadcast(marks)
-    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (tag_of_text() == F.col("_tag"))
+    own = docs["doc_id"].cast("bigint").eqNullSafe(F.col(own_id)) & (tag_of_text() == F.col(own_tag))
     plain = docs.join(marks, own, "left_anti")
-    repeated = docs.join(marks.where("kept"), own, "left_semi")
-    return plain.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    repeated = docs.join(marks.where(F.col(kept)), own)
+    # Of rows equal in id and text the one of the smallest hash of all columns that can be hashed.
+    hashed = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(content)
+    one = repeated.select(own_id, own_tag, row, hashed.alias(kept)).groupBy(own_id, own_tag).agg(F.min_by(content, kept).alias(content))
+    return plain.unionByName(one.select(f"{content}.*"))
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -87,9 +87,10 @@ def _write_tokens(docs: DataFrame, path: str, whole: bool) -> StageRun:
 
 def _write_tf(counts: DataFrame, path: str) -> StageRun:
     start = perf_counter()
+    counts, read = _observed(counts)
     tf, written = _observed(normalize_tf(counts))
     tf.write.mode("overwrite").parquet(path)
-    return StageRun("job2", counts.count(), written.get["rows"], perf_counter() - start)
+    return StageRun("job2", read.get["rows"], written.get["rows"], perf_counter() - start)
 
 
 def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:

@@ -426,6 +426,34 @@ def malformed_postings(spark, sf_dir):
     return ix.read_postings_text(spark, _lines(spark, sf_dir, "malformed_postings", line))
 
 
+def malformed_tf(spark, sf_dir):
+    """Frequency lines of which some have no number, no id or no second field."""
+    doc_id = F.col("doc_id")
+    line = (
+        F.when(doc_id % 4 == 0, F.concat(F.lit("nodelimiter"), doc_id))
+        .when(doc_id % 4 == 1, F.concat(F.lit("w"), doc_id, F.lit("\t"), doc_id, F.lit("=x")))
+        .when(doc_id % 4 == 2, F.concat(F.lit("w"), doc_id, F.lit("\tnumberless")))
+        .otherwise(F.concat(F.lit("w"), doc_id, F.lit("\ta="), doc_id, F.lit("=0.25")))
+    )
+    return ix.read_tf_text(spark, _lines(spark, sf_dir, "malformed_tf", line))
+
+
+def stage_by_stage(spark, sf_dir):
+    """The stages run one at a time, each twice: a stage replaces what it wrote before."""
+
+    def make():
+        out, docs = new_folder(spark, "stages"), _documents(spark, sf_dir)
+        n_docs = ix.count_documents(docs).first().n_docs
+        for _ in range(2):
+            ix.build_index(docs, out, "job1", n_docs)
+            ix.build_index(spark.read.parquet(f"{out}/tokens"), out, "job2")
+            ix.build_index(spark.read.parquet(f"{out}/index"), out, "job3", n_docs)
+        return out
+
+    index = ix.load_index(spark, _once(spark, sf_dir, "stages", make))
+    return _rounded(index.postings.drop("shard"), "tf", "idf", "tfidf")
+
+
 def search_batch(spark, sf_dir):
     return _rounded(ix.search_batch(_index(spark, sf_dir), _queries(spark)), "score")
 
@@ -584,6 +612,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ids_from_names,
         malformed_tokens,
         malformed_postings,
+        malformed_tf,
+        stage_by_stage,
     ]
     return {query.__name__: query for query in named} | {
         "search_single": _search("license"),
@@ -799,6 +829,9 @@ def oracle_sql() -> dict[str, str]:
         "ids_from_names": """SELECT doc_id, doc_id || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '.txt' END AS name_id
             FROM documents""",
         "malformed_tokens": "SELECT doc_id, 'a@b' AS term, doc_id + 3000000000 AS n FROM documents WHERE doc_id % 5 > 1",
+        "malformed_tf": """SELECT 'w' || doc_id AS term, CASE doc_id % 4 WHEN 1 THEN doc_id::VARCHAR WHEN 3 THEN 'a=' || doc_id END AS doc_id,
+            CASE WHEN doc_id % 4 = 3 THEN 0.25::DOUBLE END AS tf FROM documents WHERE doc_id % 4 > 0""",
+        "stage_by_stage": f"{_IDX} {_ROUNDED_IDX}",
         "malformed_postings": """SELECT 'w' || doc_id AS term, unnest(ids) AS doc_id, unnest(scores) AS tfidf FROM (
             SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN ['2'] ELSE ['1', '2'] END AS ids,
                 CASE WHEN doc_id % 4 = 1 THEN [0.5::DOUBLE] ELSE [0.75::DOUBLE, 0.25] END AS scores

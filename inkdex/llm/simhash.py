@@ -74,13 +74,19 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, seed: int
     return docs.select(*columns).mapInArrow(run, "doc_id bigint, tag bigint, fp bigint")
 
 
-def _linked(one: np.uint64, many: np.ndarray, max_bits: int) -> np.ndarray:
-    """Count filter, then the check: at least ``BYTES - max_bits`` equal bytes, at most ``max_bits`` bits."""
+def equal_bytes(differing: np.ndarray) -> np.ndarray:
+    """Positions at which two fingerprints hold the same byte, from the bits they differ in."""
+    folded = differing | differing >> np.uint64(4)
+    folded |= folded >> np.uint64(2)
+    folded |= folded >> np.uint64(1)  # the lowest bit of a byte now tells whether any of it differs
+    return BYTES - np.bitwise_count(folded & np.uint64(0x0101010101010101))
+
+
+def _linked(one: np.uint64 | np.ndarray, many: np.ndarray, max_bits: int) -> np.ndarray:
+    """Count filter, then the check: pairs of fewer than ``BYTES - max_bits`` equal bytes go, of the others the bits are counted."""
     differing = many ^ one
-    near = np.bitwise_count(differing) <= max_bits
-    if near.any():
-        equal_bytes = (differing[near].view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
-        near[near] = equal_bytes >= BYTES - max_bits
+    near = equal_bytes(differing) >= BYTES - max_bits
+    near[near] = np.bitwise_count(differing[near]) <= max_bits
     return near
 
 
@@ -109,7 +115,7 @@ def _edges_of_lists(max_bits: int):
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(keys)]))
         pairs = starts[ends - starts == 2]
-        near = np.bitwise_count(values[pairs] ^ values[pairs + 1]) <= max_bits
+        near = _linked(values[pairs], values[pairs + 1], max_bits)
         a.append(values[pairs[near]])
         b.append(values[pairs[near] + 1])
         long = ends - starts > 2

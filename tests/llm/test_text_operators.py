@@ -316,3 +316,20 @@ def test_mixing_odd_rows(odd, none):
     assert mixing.mix(none).documents.count() == 0
     repeated = mixing.repeat_taken(odd)
     assert repeated.columns == odd.columns and repeated.count() == len(ODD)
+
+
+def test_the_count_filter_drops_most_pairs_of_a_list():
+    """Fingerprints of equal bytes at three positions, as an index list has them: few reach five."""
+    pick = np.random.default_rng(1)
+    values = pick.integers(0, 1 << 64, 400, dtype=np.uint64) << np.uint64(24) | np.uint64(0xABCDEF)
+    values[:40] = values[40:80] ^ np.uint64(1 << 30)
+    dropped = kept = 0
+    for n, one in enumerate(values):
+        others = values[n + 1 :]
+        same = [sum(int(a) >> 8 * p & 255 == int(one) >> 8 * p & 255 for p in range(8)) for a in others]
+        assert simhash.equal_bytes(others ^ one).tolist() == same
+        near = [(int(a) ^ int(one)).bit_count() <= 3 for a in others]
+        assert simhash._linked(one, others, 3).tolist() == near
+        assert all(s >= 5 for s, k in zip(same, near) if k)
+        dropped, kept = dropped + sum(s < 5 for s in same), kept + sum(s >= 5 for s in same)
+    assert dropped > 100 * kept >= 4000

@@ -12,7 +12,7 @@ from inkdex.operators.index import (
     vocabulary,
     vocabulary_size,
 )
-from inkdex.operators.matches import match_counts, match_navigation, match_offsets, nest_offsets
+from inkdex.operators.matches import match_counts, match_navigation, match_offsets, match_offsets_batch, nest_offsets
 from inkdex.operators.positions import phrase_counts, phrase_starts, term_positions
 from inkdex.operators.postings import Index
 from inkdex.operators.search import phrase_search, phrase_search_batch, search, search_batch
@@ -45,6 +45,7 @@ from inkdex.sources.stage_text import (
     write_tf_text,
     write_tokens_text,
 )
+from inkdex.sources.store import DocumentStore, build_store, load_store
 from inkdex.sources.titles import read_titles, write_titles
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -17,6 +17,7 @@ from inkdex.operators.parts import has_parts, part_matches
 from inkdex.operators.positions import BLOCK_TOKENS, phrase_starts, starts_of, term_positions
 from inkdex.operators.postings import Index
 from inkdex.session import settle, settle_sized
+from inkdex.sources.store import DocumentStore
 
 # Postings of the rarest term of a query up to which they are broadcast: 64 MB for ids of 300 bytes.
 BROADCAST_POSTINGS = 200_000
@@ -69,32 +70,43 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
     return found.where(F.size("parts") == len(known)).select("doc_id", total.alias("score"))
 
 
-def phrase_search(index: Index | DataFrame, docs: DataFrame | None, query: str | None, limit: int | None = None) -> DataFrame:
+def phrase_search(
+    index: Index | DataFrame, docs: DataFrame | DocumentStore | None, query: str | None, limit: int | None = None
+) -> DataFrame:
     """``(doc_id, score)`` of all documents that an end user's query finds, best first.
 
     With one term this is ``search``. With more, quoted or not, the terms must also stand next to
     each other in the text. ``limit`` keeps that many of the best.
 
     If the index has positional postings, the phrase is found in them, no text is read and ``docs`` may be None.
-    Otherwise the pattern is tested in the scan of the texts and only ids are joined to the hits, so no text is exchanged.
+    Otherwise the pattern is tested in the scan of the texts and only ids are joined to the hits, so no text is exchanged;
+    of a ``DocumentStore`` only texts that hold all the words are read.
     A row of ``docs`` is a whole document, or a part of one if there is a column ``part``; phrases go over its edges.
     """
     index, terms = Index.of(index), split_terms(query)
     hits = _hits(index, terms)
     if len(terms) > 1:
-        if index.positions is not None:
-            hits, rows = _near_hits(index, hits, terms)
-            adjacent = phrase_starts(rows, terms).select("doc_id").distinct()
-        elif has_parts(docs):
-            adjacent = part_matches(docs, terms).select("doc_id").distinct()
-        else:
-            texts = spread(docs.select("doc_id", "text"))
-            adjacent = texts.where(F.col("text").rlike(phrase_regex(terms))).select("doc_id").distinct()
+        hits, adjacent = _adjacent(index, docs, hits, terms)
         hits = hits.join(adjacent, "doc_id", "left_semi")
     found = best_first(hits)
     return found if limit is None else found.limit(limit)
 
 
+def _adjacent(index: Index, docs: DataFrame | DocumentStore | None, hits: DataFrame, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Hits, and the ids of at least those of them that hold the terms next to each other."""
+    if index.positions is not None:
+        hits, rows = _near_hits(index, hits, terms)
+        return hits, phrase_starts(rows, terms).select("doc_id").distinct()
+    if isinstance(docs, DocumentStore):
+        hits = settle(hits, "hits")
+        docs = docs.fetch(hits.select("doc_id"))
+    elif not has_parts(docs):
+        docs = spread(docs.select("doc_id", "text"))
+    if has_parts(docs):
+        return hits, part_matches(docs, terms).select("doc_id").distinct()
+    return hits, docs.where(F.col("text").rlike(phrase_regex(terms))).select("doc_id").distinct()
+
+
 def _near_hits(index: Index, hits: DataFrame, terms: list[str]) -> tuple[DataFrame, DataFrame]:
     """Hits, and at least the positions of the terms in them: few hits filter the positions of common terms where they lie."""
     rows = index.positions_of(list(dict.fromkeys(terms)))
@@ -142,16 +154,19 @@ def _best_of_blocks(index: Index, asked: _Asked, top: int) -> DataFrame:
 
 
 def phrase_search_batch(
-    index: Index | DataFrame, docs: DataFrame | None, queries: DataFrame, limit: int | None = None
+    index: Index | DataFrame, docs: DataFrame | DocumentStore | None, queries: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """``phrase_search`` for a table ``(query_id, query)``: ``(query_id, doc_id, score)``.
 
     ``limit`` keeps that many of the best of each query that is a phrase. If the index has positional postings,
     no text is read and ``docs`` may be None; for documents of several rows without them, those of the hits are made.
+    Of a ``DocumentStore`` only the texts of hits are read.
     """
     index = Index.of(index)
-    hits, small = settle_sized(_with_phrases(_batch_hits(index, _Asked.of(index, queries)), queries), "hits")
+    hits, small = settle_sized(with_phrases(_batch_hits(index, _Asked.of(index, queries)), queries), "hits")
     phrases = hits.where("terms IS NOT NULL")
+    if isinstance(docs, DocumentStore) and index.positions is None:
+        docs = docs.fetch(phrases.select("doc_id"))
     if index.positions is not None:
         terms, few = settle_sized(phrases.select(F.explode("terms").alias("term")).distinct(), "terms")
         best = _standing_together(index.positions_near(terms, few), phrases)
@@ -178,10 +193,10 @@ def _standing_together(positions: DataFrame, phrases: DataFrame) -> DataFrame:
     return starts_of(met, ["query_id", "doc_id", "score"], BLOCK_TOKENS).select("query_id", "doc_id", "score").distinct()
 
 
-def _with_phrases(hits: DataFrame, queries: DataFrame) -> DataFrame:
-    """Hits with the ``terms`` of their query in order, null for a query of one token."""
+def with_phrases(hits: DataFrame, queries: DataFrame, least: int = 2) -> DataFrame:
+    """Hits with the ``terms`` of their query in order, null for a query of fewer than ``least`` tokens."""
     cut = queries.select("query_id", tokens(F.col("query")).alias("terms"))
-    phrases, few = settle_sized(cut.select("query_id", F.when(F.size("terms") > 1, F.col("terms")).alias("terms")), "phrases")
+    phrases, few = settle_sized(cut.select("query_id", F.when(F.size("terms") >= least, F.col("terms")).alias("terms")), "phrases")
     if few:
         return hits.join(F.broadcast(phrases), "query_id")
     # A query may have most of the hits.

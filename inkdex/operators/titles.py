@@ -9,6 +9,7 @@ from inkdex.functions.headers import HEAD_CHARACTERS, head, title_from_head, unt
 from inkdex.functions.text import score_text
 from inkdex.operators.parts import has_parts, part_heads
 from inkdex.session import settle, settle_sized
+from inkdex.sources.store import DocumentStore
 
 
 def heads(docs: DataFrame, characters: int = HEAD_CHARACTERS) -> DataFrame:
@@ -29,19 +30,24 @@ def lookup_titles(results: DataFrame, titles: DataFrame) -> DataFrame:
     return results.join(named, F.col("doc_id").cast("string") == F.col("title_id"), "left").drop("title_id")
 
 
-def found_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(doc_id, title)`` read from the texts of those results that the dictionary does not name."""
+def found_titles(results: DataFrame, titles: DataFrame, docs: DataFrame | DocumentStore) -> DataFrame:
+    """``(doc_id, title)`` read from the texts of those results that the dictionary does not name.
+
+    Of a ``DocumentStore`` only the heads of those results are read, and no text, unless documents have several rows.
+    """
     missing = lookup_titles(results.select("doc_id").distinct(), titles).where("title is null").select("doc_id")
-    missing, small = settle_sized(missing, "untitled")
-    if small:
-        missing = F.broadcast(missing)
-    # An inner join keeps the cut below itself: only heads are exchanged, if anything is.
-    found = heads(docs).join(missing, "doc_id").select("doc_id", title_from_head(F.col("head")).alias("title"))
+    if isinstance(docs, DocumentStore):
+        found = part_heads(docs.fetch(missing), HEAD_CHARACTERS) if has_parts(docs.rows) else docs.heads(missing)
+    else:
+        missing, small = settle_sized(missing, "untitled")
+        # An inner join keeps the cut below itself: only heads are exchanged, if anything is.
+        found = heads(docs).join(F.broadcast(missing) if small else missing, "doc_id")
+    found = found.select("doc_id", title_from_head(F.col("head")).alias("title"))
     # Stored before it is filtered, so that the extraction does not run once more in the filter.
     return settle(found, "titles").where("title is not null")
 
 
-def resolve_titles(results: DataFrame, titles: DataFrame, docs: DataFrame) -> DataFrame:
+def resolve_titles(results: DataFrame, titles: DataFrame, docs: DataFrame | DocumentStore) -> DataFrame:
     """Results with a ``title`` for every row."""
     results = settle(results, "results")  # read twice below
     found = found_titles(results, titles, docs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkdex.functions.text import DOCUMENT_SUFFIX, doc_id_from_file_name, file_name
 from inkdex.session import settle_sized
+from inkdex.sources.store import DocumentStore, is_blank
 
 # Named corpus sizes, in documents.
 PRESETS = {"small": 100, "half": 4000, "all": None}
@@ -90,15 +91,18 @@ def count_documents(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count_distinct("doc_id").alias("n_docs"))
 
 
-def fetch_documents(docs: DataFrame, ids: list | DataFrame) -> DataFrame:
+def fetch_documents(docs: DataFrame | DocumentStore, ids: list | DataFrame) -> DataFrame:
     """Whole texts of the given ids, with a mark for those that hold nothing but blanks.
 
-    A list of ids is pushed into the scan; a DataFrame ``(doc_id)`` is joined.
+    A list of ids is pushed into the scan; a DataFrame ``(doc_id)`` is joined. Of a table all ids are read; a
+    ``DocumentStore`` reads only the directories of those asked for.
     """
+    if isinstance(docs, DocumentStore):
+        return docs.fetch(ids)
     if isinstance(ids, DataFrame):
         # Few ids are broadcast, so that no text is exchanged.
         ids, small = settle_sized(ids.select("doc_id").distinct(), "ids")
         wanted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
     else:
         wanted = docs.where(F.col("doc_id").isin(ids))
-    return wanted.withColumn("is_blank", ~F.col("text").rlike(r"[^\x00-\x20]"))
+    return wanted.withColumn("is_blank", is_blank(F.col("text")))

@@ -213,6 +213,48 @@ def postings_roundtrip(spark, sf_dir):
     return _rounded(rows.withColumn("doc_id", F.col("doc_id").cast("bigint")), "tfidf")
 
 
+def _blocked_text(spark: SparkSession, sf_dir: str) -> str:
+    """Text export of the index in blocks of some hundred postings, so that common terms have many lines."""
+
+    def make():
+        out = new_folder(spark, "blocked")
+        ix.write_postings_text(ix.posting_blocks(_index(spark, sf_dir).postings, 100), out)
+        return out
+
+    return _once(spark, sf_dir, "blocked", make)
+
+
+def postings_long_term(spark, sf_dir):
+    """Terms of many lines of text, read back."""
+    rows = ix.read_postings_text(spark, _blocked_text(spark, sf_dir))
+    return _rounded(rows.withColumn("doc_id", F.col("doc_id").cast("bigint")), "tfidf")
+
+
+def search_imported(spark, sf_dir):
+    """A search of an index that was stored from its text form."""
+
+    def make():
+        out = new_folder(spark, "imported")
+        ix.import_index(spark, _blocked_text(spark, sf_dir), out, id_type="bigint")
+        return out
+
+    index = ix.load_index(spark, _once(spark, sf_dir, "imported", make))
+    return _rounded(ix.search(index, "of the"), "score")
+
+
+def search_snapshot(spark, sf_dir):
+    """The index published last: that of the pages was published before that of the documents."""
+
+    def make():
+        out = new_folder(spark, "published")
+        ix.build_snapshot(ix.read_table(spark, f"{sf_dir}/pages.parquet", "page_id", "url"), out)
+        ix.build_snapshot(_documents(spark, sf_dir), out)
+        return out
+
+    index = ix.load_index(spark, ix.current_snapshot(spark, _once(spark, sf_dir, "published", make)))
+    return _rounded(ix.search_batch(index, _queries(spark)), "score")
+
+
 def tokens_roundtrip(spark, sf_dir):
     def make():
         out = new_folder(spark, "tokens")
@@ -303,6 +345,49 @@ def _positional(spark: SparkSession, sf_dir: str) -> ix.Index:
     return ix.load_index(spark, out, positions=True)
 
 
+def _store(spark: SparkSession, sf_dir: str) -> ix.DocumentStore:
+    """The documents stored by id."""
+
+    def make():
+        out = new_folder(spark, "store")
+        ix.build_store(_documents(spark, sf_dir), out, shards=16)
+        return out
+
+    return ix.load_store(spark, _once(spark, sf_dir, "store", make))
+
+
+def document_fetch_store(spark, sf_dir):
+    """Fetched from the store, of which only the directories of these ids are read."""
+    return ix.fetch_documents(_store(spark, sf_dir), ix.search(_index(spark, sf_dir), "license").select("doc_id"))
+
+
+def document_head_store(spark, sf_dir):
+    """Heads of results, without reading a text."""
+    return _store(spark, sf_dir).heads(ix.search(_index(spark, sf_dir), "of the").select("doc_id"))
+
+
+def phrase_search_store(spark, sf_dir):
+    """Only texts that hold both words are read."""
+    return _rounded(ix.phrase_search(_index(spark, sf_dir), _store(spark, sf_dir), "of the"), "score")
+
+
+def phrase_search_batch_store(spark, sf_dir):
+    return _rounded(ix.phrase_search_batch(_index(spark, sf_dir), _store(spark, sf_dir), _queries(spark)), "score")
+
+
+def match_offsets_batch(spark, sf_dir):
+    """Where each query of a batch stands in each of its results."""
+    results = ix.search_batch(_index(spark, sf_dir), _queries(spark))
+    return ix.match_offsets_batch(results, _documents(spark, sf_dir), _queries(spark))
+
+
+def match_offsets_batch_benchmark(spark, sf_dir):
+    """Every benchmark item in the documents that hold it, from the positional postings and the store."""
+    index, queries_ = _positional(spark, sf_dir), _benchmark_queries(spark, sf_dir)
+    results = ix.phrase_search_batch(index, None, queries_)
+    return ix.match_offsets_batch(results, _store(spark, sf_dir), queries_, index)
+
+
 def _phrase_by_positions(query: str, limit: int | None = None):
     """No text is read: there are no documents to read it from."""
     return lambda spark, sf_dir: _rounded(ix.phrase_search(_positional(spark, sf_dir), None, query, limit), "score")
@@ -568,6 +653,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         postings,
         postings_flat,
         postings_roundtrip,
+        postings_long_term,
+        search_imported,
+        search_snapshot,
         tokens_roundtrip,
         tf_roundtrip,
         vocabulary_size,
@@ -609,6 +697,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         match_count_lines,
         title_extract_parts,
         document_fetch_blank,
+        document_fetch_store,
+        document_head_store,
+        phrase_search_store,
+        phrase_search_batch_store,
+        match_offsets_batch,
+        match_offsets_batch_benchmark,
         ids_from_names,
         malformed_tokens,
         malformed_postings,
@@ -746,6 +840,24 @@ _OF_THE = r"(?i)\bof[^a-zA-Z0-9]+the\b"
 _THE = r"(?i)\bthe\b"
 
 
+def _batch_matches_sql(found: str) -> str:
+    """Matches of each query in each of the rows (query_id, doc_id) of ``found``, for queries of at least one token."""
+    return f"""told AS (
+        SELECT query_id, doc_id, regexp_extract_all(text, pattern) AS m, string_split_regex(text, pattern) AS g
+        FROM {found} JOIN patterns USING (query_id) JOIN documents USING (doc_id) WHERE n_terms > 0),
+    parts AS (
+        SELECT query_id, doc_id, len(m) AS n_matches, unnest(m) AS matched, unnest(g[1:len(m)]) AS gap,
+            generate_subscripts(m, 1) AS match_no
+        FROM told WHERE len(m) > 0),
+    ends AS (
+        SELECT *, CAST(sum(length(gap) + length(matched))
+            OVER (PARTITION BY query_id, doc_id ORDER BY match_no) AS BIGINT) AS "end"
+        FROM parts)
+    SELECT query_id, doc_id, CAST(match_no AS INTEGER) AS match_no, CAST(n_matches AS INTEGER) AS n_matches,
+        "end" - length(matched) AS start, "end", matched
+    FROM ends"""
+
+
 def oracle_sql() -> dict[str, str]:
     of_the = _MATCHES.replace("{p}", _OF_THE)
     turns = _index_ctes("conversations", "conv_id")
@@ -791,6 +903,18 @@ def oracle_sql() -> dict[str, str]:
             string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS doc_ids FROM idx GROUP BY term, df""",
         "postings_flat": f"{_IDX} SELECT term, doc_id, round(tfidf, 9) AS tfidf, df FROM idx",
         "postings_roundtrip": tfidf_rows,
+        "postings_long_term": tfidf_rows,
+        "search_imported": _search_sql("of the"),
+        "search_snapshot": f"WITH {_hits_ctes(_values())} SELECT query_id, doc_id, round(score, 9) AS score FROM hits",
+        "document_fetch_store": f"""{_IDX} SELECT doc_id, text, false AS is_blank FROM documents
+            WHERE doc_id IN (SELECT doc_id FROM tc WHERE term = 'license')""",
+        "document_head_store": f"""WITH {_hits_ctes(_one("of the"))}
+            SELECT doc_id, substring(text, 1, 1500) AS head FROM hits JOIN documents USING (doc_id)""",
+        "phrase_search_store": _phrase_sql("of the"),
+        "phrase_search_batch_store": f"""WITH {_phrase_ctes(_values())}
+            SELECT query_id, doc_id, round(score, 9) AS score FROM shown""",
+        "match_offsets_batch": f"WITH {_phrase_ctes(_values())}, {_batch_matches_sql('hits')}",
+        "match_offsets_batch_benchmark": f"WITH {_phrase_ctes(_BENCHMARK)}, {_batch_matches_sql('shown')}",
         "tokens_roundtrip": f"{_IDX} SELECT doc_id, term, n FROM tc",
         "tf_roundtrip": f"{_IDX} SELECT term, doc_id, round(tf, 9) AS tf FROM tf",
         "vocabulary_size": f"{_IDX} SELECT count(*) AS n_terms FROM dfs",

@@ -25,7 +25,16 @@ from inkdex.operators.titles import (
     remember_titles,
     resolve_titles,
 )
-from inkdex.plans.build import build_bounds, build_index, build_positions, load_index
+from inkdex.plans.build import (
+    build_bounds,
+    build_index,
+    build_positions,
+    build_snapshot,
+    current_snapshot,
+    import_index,
+    load_index,
+    publish_snapshot,
+)
 from inkdex.sources.corpus import (
     PRESETS,
     corpus_manifest,

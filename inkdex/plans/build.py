@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from time import perf_counter
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +15,17 @@ from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf
 from inkdex.operators.parts import has_parts
 from inkdex.operators.positions import term_positions
 from inkdex.operators.postings import Index, shard_of
+from inkdex.session import settle
 from inkdex.sources.corpus import count_documents
+from inkdex.sources.stage_text import read_postings_text
+from inkdex.sources.store import build_store
 
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
 TOKENS, TF, POSTINGS, POSITIONS, BOUNDS = "tokens", "index", "tfidf", "positions", "bounds"
 VOCABULARY, LAYOUT, RUNS = "vocabulary", "layout", "runs"
+SNAPSHOTS, PUBLISHED = "snapshots", "published"
+PUBLISHED_SCHEMA = "number bigint, snapshot string"
 RUNS_SCHEMA = "stage string, records_in bigint, records_out bigint, seconds double"
 
 # Size of the stored index's parts, in postings. A shard is a directory that a query can skip, a
@@ -104,16 +111,93 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     spark = tf.sparkSession
     vocabulary(tf, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
-    n_postings = terms.agg(F.sum("df")).first()[0] or 0
-    shards, groups = _divided(spark, n_postings)
+    n_postings, shards, groups = _sized(terms)
 
     postings, written = _observed(tfidf_index(tf, n_docs, terms))
     # By length within a term, as the best results are sought.
     order = ["term", *(["doc_len"] if "doc_len" in postings.columns else []), "doc_id"]
     _lay_out(postings, shards, groups, order, f"{out}/{POSTINGS}")
+    _write_layout(spark, out, n_docs, shards)
+    return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
+
+
+def _sized(terms: DataFrame) -> tuple[int, int, int]:
+    """Postings of a stored vocabulary, and the shards and groups of terms that hold them."""
+    n_postings = terms.agg(F.sum("df")).first()[0] or 0
+    return n_postings, *_divided(terms.sparkSession, n_postings)
+
+
+def _write_layout(spark: SparkSession, out: str, n_docs: int, shards: int) -> None:
     settings = [F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(shards).alias("shards")]
     spark.range(1).select(settings).coalesce(1).write.mode("overwrite").parquet(f"{out}/{LAYOUT}")
-    return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
+
+
+def import_index(spark: SparkSession, path: str, out: str, n_docs: int | None = None, id_type: str = "string") -> None:
+    """Store the index that a text form holds, see ``read_postings_text``, below ``out``, laid out as ``build_index`` does.
+
+    The text has the weights alone, so the vocabulary is counted from it; ``n_docs`` is the number of documents of the
+    corpus, if it is known, and else that of the documents that have a posting. An id that is not of ``id_type`` is an error, and
+    so is a text without any posting. Such an index is searched like any other; bounds and positions need more than it has.
+    """
+    rows = read_postings_text(spark, path)
+    rows = settle(rows.withColumn("doc_id", F.col("doc_id").cast(id_type)), "imported")
+    if rows.isEmpty():
+        raise ValueError(f"no postings in {path}")
+    if n_docs is None:
+        n_docs = count_documents(rows).first().n_docs
+    vocabulary(rows, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
+    _, shards, groups = _sized(spark.read.parquet(f"{out}/{VOCABULARY}"))
+    _lay_out(rows, shards, groups, ["term", "doc_id"], f"{out}/{POSTINGS}")
+    _write_layout(spark, out, n_docs, shards)
+
+
+def build_snapshot(
+    source: DataFrame, out: str, n_docs: int | None = None, whole: bool = True, positions: bool = False, bounds: bool = False, store: bool = False
+) -> str:
+    """Build a new index of a corpus in a folder of its own below ``out``, and publish it when all of it is written.
+
+    Until then, and if the build fails, ``current_snapshot`` is the one before, and searches of it go on undisturbed, also
+    those that began earlier. ``positions``, ``bounds`` and ``store`` build these beside the index. Returns the folder. Earlier
+    folders stay until they are removed.
+    """
+    folder = f"{out}/{SNAPSHOTS}/{uuid4().hex}"
+    build_index(source, folder, n_docs=n_docs, whole=whole)
+    if positions:
+        build_positions(source, folder)
+    if bounds:
+        build_bounds(source.sparkSession, folder)
+    if store:
+        build_store(source, folder)
+    publish_snapshot(source.sparkSession, out, folder)
+    return folder
+
+
+def publish_snapshot(spark: SparkSession, out: str, folder: str) -> None:
+    """Make a folder that ``build_snapshot`` wrote below ``out`` the current one; an earlier one, to go back to it.
+
+    The list of what was published only grows, by one file that appears as a whole. Of two that are published at the same time
+    one becomes the current one.
+    """
+    number = _published(spark, out).agg(F.coalesce(F.max("number"), F.lit(0)) + 1).first()[0]
+    row = spark.createDataFrame([(number, folder.rsplit("/", 1)[-1])], PUBLISHED_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{out}/{PUBLISHED}")
+
+
+def current_snapshot(spark: SparkSession, out: str) -> str:
+    """Folder of the index published last below ``out``, for ``load_index`` and ``load_store``."""
+    last = _published(spark, out).orderBy(F.desc("number"), "snapshot").first()
+    if last is None:
+        raise ValueError(f"nothing was published below {out}")
+    return f"{out}/{SNAPSHOTS}/{last.snapshot}"
+
+
+def _published(spark: SparkSession, out: str) -> DataFrame:
+    try:
+        return spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{out}/{PUBLISHED}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PUBLISHED_SCHEMA)
 
 
 def _divided(spark: SparkSession, n_postings: int) -> tuple[int, int]:
@@ -137,8 +221,7 @@ def build_positions(docs: DataFrame, out: str) -> StageRun:
     """
     start = perf_counter()
     spark = docs.sparkSession
-    n_postings = spark.read.parquet(f"{out}/{VOCABULARY}").agg(F.sum("df")).first()[0] or 0
-    shards, groups = _divided(spark, n_postings)
+    _, shards, groups = _sized(spark.read.parquet(f"{out}/{VOCABULARY}"))
     docs, read = _observed(docs)
     rows, written = _observed(term_positions(docs if has_parts(docs) else spread(docs)))
     _lay_out(rows, shards, groups, ["term", "doc_id", "block"], f"{out}/{POSITIONS}")

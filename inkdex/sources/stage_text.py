@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import parse_double, parse_int
+from inkdex.session import settle_sized
 
 # How a key and a number are packed into one field, cut at the last mark.
 WORD_AT_DOC = "^(?s)(.*)@([^@]*)$"
 DOC_EQUALS_TF = "^(?s)(.*)=([^=]*)$"
 DOC_COLON_SCORE = "^(?s)(.*):([^:]*)$"
 
+# Number of a block and of all blocks of its term, at the end of a line that holds one of several.
+BLOCK_MARK = r"\t([0-9]{1,9})/([0-9]{1,9})\z"
+
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value, line_at)``; ``line_at`` orders lines by file and by place in the file."""
@@ -81,37 +85,47 @@ def _write_lines(rows: DataFrame, path: str, *fields) -> None:
 def read_postings_text(spark: SparkSession, path: str) -> DataFrame:
     """``(term, doc_id, tfidf)`` from ``term <tab> doc:score,doc:score``.
 
-    The last line of a term wins, then the last score of a document in it; entries without a
-    number are skipped.
+    A line may end in ``<tab> block/blocks``, as ``write_postings_text`` marks those of a term that has several; without the
+    mark it is the only one of its term. The last line of a term tells the number of its blocks, and lines of another number are
+    out of date; of the others the last line of each block wins, then the last score of a document. Entries without a number are
+    skipped. Lines never meet, so a term may have any number of documents. The lines are read twice, once for the numbers.
     """
     tab = F.instr("value", F.lit("\t"))
-    lines = text_lines(spark, path).where(tab > 0).select(
-        F.substring_index("value", "\t", 1).alias("term"),
-        F.col("value").substr(tab + 1, F.length("value")).alias("entries"),
-        "line_at",
+    cut = text_lines(spark, path).where(tab > 0).select(
+        F.substring_index("value", "\t", 1).alias("term"), F.col("value").substr(tab + 1, F.length("value")).alias("rest"), "line_at"
+    )
+
+    def mark(group: int, without: int):
+        return F.coalesce(F.nullif(F.regexp_extract("rest", BLOCK_MARK, group), F.lit("")).cast("int"), F.lit(without))
+
+    lines = cut.select(
+        "term", mark(1, 0).alias("block"), mark(2, 1).alias("n_blocks"), F.regexp_replace("rest", BLOCK_MARK, "").alias("entries"), "line_at"
     )
-    last = last_by_line(lines, "term", "entries")
-    entries = last.select("term", F.posexplode(F.split("entries", ",")).alias("at", "entry"))
+    # Terms of which there are lines of several numbers of blocks, with the number that counts.
+    numbers = lines.groupBy("term", "n_blocks").agg(F.max("line_at").alias("line_at"))
+    dated = numbers.groupBy("term").agg(F.max_by("n_blocks", "line_at").alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    dated, few = settle_sized(dated.select("term", "latest"), "dated")
+    lines = lines.join(F.broadcast(dated) if few else dated, "term", "left").where("latest IS NULL OR n_blocks = latest")
+    last = lines.groupBy("term", "block").agg(F.max_by("entries", "line_at").alias("entries"))
+    entries = last.select("term", "block", F.posexplode(F.split("entries", ",")).alias("at", "entry"))
     scored = entries.where(F.contains("entry", F.lit(":"))).select(
         "term",
         F.regexp_extract("entry", DOC_COLON_SCORE, 1).alias("doc_id"),
         parse_double(F.regexp_extract("entry", DOC_COLON_SCORE, 2)).alias("tfidf"),
-        "at",
+        F.struct("block", "at").alias("at"),
     )
     return scored.where("tfidf is not null").groupBy("term", "doc_id").agg(F.max_by("tfidf", "at").alias("tfidf"))
 
 
 def write_postings_text(blocks: DataFrame, path: str) -> None:
-    """One line per term from its posting blocks, sorted by term within each file.
+    """One line per posting block, sorted by term within each file; exchanges nothing.
 
-    Each block is turned into text where it lies; only the finished pieces of a term meet, in block
-    order. The format puts a term on one line, so a term of more than some ten million documents
-    should stay in the parquet form. An id with a comma, a tab or a line break is an error.
+    A term of one block has a plain line, the blocks of other terms are marked, see ``read_postings_text``. An id with
+    a comma, a tab or a line break is an error.
     """
     entry = F.transform(
         "postings", lambda p: F.concat_ws(":", fitting(p["doc_id"], "[,\\t\\n\\r]"), p["tfidf"].cast("string"))
     )
-    pieces = blocks.select("term", F.struct("block", F.array_join(entry, ",").alias("text")).alias("piece"))
-    lines = pieces.groupBy("term").agg(F.sort_array(F.collect_list("piece"))["text"].alias("texts"))
-    line = F.concat_ws("\t", "term", F.array_join("texts", ","))
-    lines.sortWithinPartitions("term").select(line.alias("value")).write.mode("overwrite").text(path)
+    mark = F.when(F.col("n_blocks") > 1, F.concat_ws("/", F.col("block").cast("string"), F.col("n_blocks").cast("string")))
+    line = F.concat_ws("\t", fitting(F.col("term"), "[\\t\\n\\r]"), F.array_join(entry, ","), mark)
+    blocks.sortWithinPartitions("term", "block").select(line.alias("value")).write.mode("overwrite").text(path)

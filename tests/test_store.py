@@ -4,10 +4,12 @@ import random
 
 import pytest
 from conftest import ordered, rows
+from pyspark.sql import functions as F
 from test_search import PHRASE
 
 import inkdex as ix
 from inkdex import session
+from inkdex.plans import build as build_module
 from inkdex.sources import store as store_module
 
 
@@ -159,3 +161,70 @@ def test_batch_of_offsets_refuses_parts(spark):
     lines = spark.createDataFrame([(1, 0, "x")], "doc_id bigint, part int, text string")
     with pytest.raises(ValueError):
         ix.match_offsets_batch(lines, lines, lines)
+
+
+def test_long_terms_have_many_lines(spark, index, tmp_path):
+    blocks = ix.posting_blocks(index.postings, 1)
+    ix.write_postings_text(blocks, str(tmp_path))
+    lines = [r.value for r in spark.read.text(str(tmp_path)).collect()]
+    assert any(line.endswith("/2") for line in lines) and len(lines) == blocks.count()
+    expected = rows(index.postings, "term", "doc_id", "tfidf")
+    assert rows(ix.read_postings_text(spark, str(tmp_path)), "term", "doc_id", "tfidf") == expected
+    with pytest.raises(Exception, match="cannot hold"):
+        ix.write_postings_text(blocks.withColumn("term", F.lit("a\tb")), f"{tmp_path}/bad")
+
+
+def test_the_last_export_of_a_term_counts(spark, tmp_path):
+    for name, lines in {
+        "a": ["x\t1:0.5,2:0.25\t0/2", "x\t3:1.0\t1/2", "y\t1:1.0\t0/2", "y\t2:1.0\t1/2", "z\t1:1.0"],
+        "b": ["x\t4:2.0\t1/2", "y\t5:3.0", "z\t7:bad,8:1.5\t0/2", "z\t9:1.0,9:4.0\t1/2", "w\t1:1.0\t1/x"],
+    }.items():
+        (tmp_path / name).write_text("\n".join(lines))
+    found = rows(ix.read_postings_text(spark, str(tmp_path)))
+    assert found == [("x", "1", 0.5), ("x", "2", 0.25), ("x", "4", 2.0), ("y", "5", 3.0), ("z", "8", 1.5), ("z", "9", 4.0)]
+
+
+def test_import(spark, index, tmp_path):
+    ix.write_postings_text(ix.posting_blocks(index.postings, 1), f"{tmp_path}/text")
+    ix.import_index(spark, f"{tmp_path}/text", f"{tmp_path}/index", n_docs=3)
+    stored = ix.load_index(spark, f"{tmp_path}/index")
+    for query in ("wizard", "oz the", "the zzz", ""):
+        assert ordered(ix.search(stored, query)) == ordered(ix.search(index, query))
+    assert rows(stored.vocabulary) == rows(index.vocabulary)
+
+
+def test_import_of_nothing_or_of_other_ids(spark, tmp_path):
+    (tmp_path / "t").write_text("term\tno score\n")
+    with pytest.raises(ValueError):
+        ix.import_index(spark, str(tmp_path / "t"), f"{tmp_path}/index")
+    (tmp_path / "u").write_text("term\ta1:0.5\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        ix.import_index(spark, str(tmp_path / "u"), f"{tmp_path}/index", id_type="bigint")
+
+
+def test_a_failed_build_leaves_the_index_as_it_is(spark, docs, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    with pytest.raises(ValueError):
+        ix.current_snapshot(spark, out)
+    first = ix.build_snapshot(docs, out, n_docs=3, positions=True, bounds=True, store=True)
+    index = ix.load_index(spark, ix.current_snapshot(spark, out), positions=True, bounds=True)
+    before = ordered(ix.search(index, "oz"))
+    new = docs.where("doc_id = '1'")
+
+    def stopped(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(build_module, "_write_postings", stopped)
+        with pytest.raises(RuntimeError):
+            ix.build_snapshot(new, out)
+    assert ix.current_snapshot(spark, out) == first
+    assert ordered(ix.search(ix.load_index(spark, first), "oz")) == before
+    second = ix.build_snapshot(new, out)
+    assert ix.current_snapshot(spark, out) == second != first
+    assert len(ordered(ix.search(ix.load_index(spark, second), "oz"))) == 1
+    # A search that began before goes on, and one can go back.
+    assert ordered(ix.search(index, "oz")) == before
+    assert rows(ix.load_store(spark, first).fetch(["1"]), "doc_id") == [("1",)]
+    ix.publish_snapshot(spark, out, first)
+    assert ix.current_snapshot(spark, out) == first

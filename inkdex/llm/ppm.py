@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -45,17 +46,16 @@ def stream_of(words: list[bytes]) -> bytes:
 
 def gram_keys(streams: list[bytes], order: int = ORDER) -> np.ndarray:
     """Key of every byte of the streams: the ``order`` bytes before it (ends before the first) and itself."""
-    padding = END * order
-    data = np.frombuffer(b"".join(padding + s for s in streams), np.uint8)
-    if not len(data):
+    if not streams:
         return np.empty(0, np.uint64)
+    padding = END * order
+    data = b"".join([END * (7 - order), *(padding + s for s in streams)])
     lengths = np.array([len(s) + order for s in streams])
     starts = np.cumsum(lengths) - lengths
-    keys = np.zeros(len(data) - order, np.uint64)
-    for back in range(order + 1):
-        keys <<= _BYTE
-        keys |= data[back : len(data) - order + back]
-    own = np.ones(len(data), bool)
+    # Every eight bytes read as one number, of which the last order + 1 are the key.
+    keys = np.ndarray((len(data) - 7,), ">u8", data, 0, (1,)).astype(np.uint64)
+    keys &= np.uint64((1 << 8 * (order + 1)) - 1)
+    own = np.ones(len(keys) + order, bool)
     for place in range(order):
         own[starts + place] = False
     return keys[own[order:]]
@@ -311,11 +311,13 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, chunk_bytes:
         parts_of = {(k, p): v for k, p, v in zip(*(told.column(c).to_pylist() for c in ("kind", "part", "values")), strict=True)}
 
         def values(kind: int, keys: np.ndarray, owner, dtype) -> np.ndarray:
-            asked = np.unique(keys)
+            codes, asked = pd.factorize(keys)  # one pass through a hash table instead of a search for each key
+            ascending = np.argsort(asked)
+            asked = asked[ascending]
             found = np.empty(len(asked), dtype)
             for part, places in _in_parts(asked, owner(asked, parts)):
-                found[places] = _unpacked(parts_of[kind, part], dtype)
-            return found[np.searchsorted(asked, keys)]
+                found[ascending[places]] = _unpacked(parts_of[kind, part], dtype)
+            return found[codes]
 
         logs = values(_GRAM, gram_keys(streams, order), gram_part, np.float32)
         scores = np.add.reduceat(logs, ends - lengths, dtype=np.float64)
@@ -323,7 +325,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, chunk_bytes:
         listed = [[*s[: -len(END)].split(), END] for s in streams]
         n_tokens = np.array([len(tokens_) for tokens_ in listed])
         first = np.cumsum(n_tokens) - n_tokens
-        flat = np.fromiter((hashes[t] for tokens_ in listed for t in tokens_), np.uint64, int(n_tokens.sum()))
+        flat = np.concatenate([np.fromiter(map(hashes.__getitem__, tokens_), np.uint64, len(tokens_)) for tokens_ in listed])
         counts = values(_WORD, flat, word_part, np.int64)
         base = np.add.reduceat(np.log10((counts + 1) / (tokens + different + 1)), first)
         n_known = np.add.reduceat((counts > 0).astype(np.int64), first)

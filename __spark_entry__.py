@@ -564,6 +564,17 @@ def search_batch_top_bounds(spark, sf_dir):
     return _rounded(ix.search_batch(_bounded(spark, sf_dir), _queries(spark), top=20), "score")
 
 
+def _mapped(spark: SparkSession, sf_dir: str) -> ix.Index:
+    """Index of the documents with bitmaps of the frequent terms."""
+    out = _built(spark, sf_dir)[0]
+    _once(spark, sf_dir, "bitmaps", lambda: ix.build_bitmaps(spark, out))
+    return ix.load_index(spark, out, bitmaps=True)
+
+
+def _search_mapped(query: str):
+    return lambda spark, sf_dir: _rounded(ix.search(_mapped(spark, sf_dir), query), "score")
+
+
 def search_batch_benchmark(spark, sf_dir):
     """Every benchmark item is a query."""
     return _rounded(ix.search_batch(_index(spark, sf_dir), _benchmark_queries(spark, sf_dir)), "score")
@@ -713,6 +724,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_single": _search("license"),
         "search_and": _search("of the"),
         "search_and_rare": _search("the la"),
+        "search_and_bitmaps": _search_mapped("of the"),
+        "search_bitmaps_mixed": _search_mapped("the of and to zzzunknown the license"),
         "search_unknown_term": _search("the zzzunknown"),
         "search_only_unknown": _search("zzzunknown"),
         "search_repeated_term": _search("the the of"),
@@ -929,6 +942,8 @@ def oracle_sql() -> dict[str, str]:
         "search_single": _search_sql("license"),
         "search_and": _search_sql("of the"),
         "search_and_rare": _search_sql("the la"),
+        "search_and_bitmaps": _search_sql("of the"),
+        "search_bitmaps_mixed": _search_sql("the of and to zzzunknown the license"),
         "search_unknown_term": _search_sql("the zzzunknown"),
         "search_only_unknown": _search_sql("zzzunknown"),
         "search_repeated_term": _search_sql("the the of"),

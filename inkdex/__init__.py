@@ -26,6 +26,7 @@ from inkdex.operators.titles import (
     resolve_titles,
 )
 from inkdex.plans.build import (
+    build_bitmaps,
     build_bounds,
     build_index,
     build_positions,

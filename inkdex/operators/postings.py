@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkdex.operators.bitmaps import Numbering
 from inkdex.operators.index import document_frequencies
 
 
@@ -21,7 +22,8 @@ class Index:
 
     With ``shards`` the postings are stored in that many directories by hash of the term. ``positions`` are the
     positional postings ``(term, doc_id, block, at)``, if there are any, stored in ``position_shards``, and ``bounds``
-    the greatest weights ``(term, block, most, n)`` in blocks of documents, dealt by ``spread``.
+    the greatest weights ``(term, block, most, n)`` in blocks of documents, dealt by ``spread``. ``bitmaps`` are the documents
+    of frequent terms ``(term, bucket, bitmap)``, by their ``numbering``, stored in ``bitmap_shards``.
     """
 
     postings: DataFrame
@@ -31,6 +33,9 @@ class Index:
     position_shards: int | None = None
     bounds: DataFrame | None = None
     spread: int | None = None
+    bitmaps: DataFrame | None = None
+    bitmap_shards: int | None = None
+    numbering: Numbering | None = None
 
     @staticmethod
     def of(index: Index | DataFrame) -> Index:
@@ -50,6 +55,10 @@ class Index:
         """Positional postings of literal terms."""
         return _of_terms(self.positions, self.position_shards, terms)
 
+    def bitmaps_of(self, terms: list[str]) -> DataFrame:
+        """Bitmaps of literal terms."""
+        return _of_terms(self.bitmaps, self.bitmap_shards, terms)
+
     def postings_near(self, terms: DataFrame, few_terms: bool) -> DataFrame:
         """At least the postings of the terms of a stored table."""
         return _near_terms(self.postings, self.shards, terms, few_terms)

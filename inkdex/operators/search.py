@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkdex.functions.text import phrase_pattern, phrase_regex, split_terms, tokens
+from inkdex.operators.bitmaps import common_documents, of_documents
 from inkdex.operators.bounds import FREQUENT, MORE, ROOM, document_block, promising, query_blocks, still_open
 from inkdex.operators.index import spread
 from inkdex.operators.joins import join_blocks, join_by_weight
@@ -45,7 +46,8 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
 
     The postings of all terms come from one scan, however many terms there are. If the rarest term
     has few documents, these are broadcast, and the postings of the common terms are only filtered
-    where they lie; what is left is grouped by document. Scores are added in query order, so that
+    where they lie; with bitmaps they are filtered by the documents that all frequent terms share. What is left is grouped
+    by document. Scores are added in query order, so that
     equal documents have equal sums.
     """
     weights = Counter(terms)
@@ -61,6 +63,8 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
         some, small = settle_sized(index.postings_of([rarest]).select("doc_id"), "rarest")
         if small:
             postings = postings.join(F.broadcast(some), "doc_id", "left_semi")
+    elif index.bitmaps is not None:
+        postings = _in_all(index, postings, [term for term in known if df[term] >= index.numbering.least_df])
     told = F.create_map(*(F.lit(x) for at, term in enumerate(known) for x in (term, f"{at:06d} {weights[term]}")))
     note = F.split(told[F.col("term")], " ")
     part = F.struct(note[0].alias("pos"), (F.col("tfidf") * note[1].cast("int")).alias("score"))
@@ -70,6 +74,13 @@ def _hits(index: Index, terms: list[str]) -> DataFrame:
     return found.where(F.size("parts") == len(known)).select("doc_id", total.alias("score"))
 
 
+def _in_all(index: Index, postings: DataFrame, frequent: list[str]) -> DataFrame:
+    """At least the postings of documents that hold all the ``frequent`` terms of a query, by their bitmaps."""
+    if len(frequent) < 2:
+        return postings
+    return of_documents(postings, index.numbering, common_documents(index.bitmaps_of(frequent), len(frequent)))
+
+
 def phrase_search(
     index: Index | DataFrame, docs: DataFrame | DocumentStore | None, query: str | None, limit: int | None = None
 ) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from inkdex.operators.bitmaps import Numbering, term_bitmaps
 from inkdex.operators.bounds import posting_bounds, spread_for
 from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf_index, vocabulary
 from inkdex.operators.parts import has_parts
@@ -22,10 +23,12 @@ from inkdex.sources.store import build_store
 
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
-TOKENS, TF, POSTINGS, POSITIONS, BOUNDS = "tokens", "index", "tfidf", "positions", "bounds"
+TOKENS, TF, POSTINGS, POSITIONS, BOUNDS, BITMAPS = "tokens", "index", "tfidf", "positions", "bounds", "bitmaps"
 VOCABULARY, LAYOUT, RUNS = "vocabulary", "layout", "runs"
 SNAPSHOTS, PUBLISHED = "snapshots", "published"
 PUBLISHED_SCHEMA = "number bigint, snapshot string"
+# Directories without any file have no schema of their own.
+BITMAPS_SCHEMA = "term string, bucket bigint, bitmap binary, span bigint, base bigint, least_df bigint, shard int"
 RUNS_SCHEMA = "stage string, records_in bigint, records_out bigint, seconds double"
 
 # Size of the stored index's parts, in postings. A shard is a directory that a query can skip, a
@@ -152,12 +155,19 @@ def import_index(spark: SparkSession, path: str, out: str, n_docs: int | None =
 
 
 def build_snapshot(
-    source: DataFrame, out: str, n_docs: int | None = None, whole: bool = True, positions: bool = False, bounds: bool = False, store: bool = False
+    source: DataFrame,
+    out: str,
+    n_docs: int | None = None,
+    whole: bool = True,
+    positions: bool = False,
+    bounds: bool = False,
+    store: bool = False,
+    bitmaps: bool = False,
 ) -> str:
     """Build a new index of a corpus in a folder of its own below ``out``, and publish it when all of it is written.
 
     Until then, and if the build fails, ``current_snapshot`` is the one before, and searches of it go on undisturbed, also
-    those that began earlier. ``positions``, ``bounds`` and ``store`` build these beside the index. Returns the folder. Earlier
+    those that began earlier. ``positions``, ``bounds``, ``store`` and ``bitmaps`` build these beside the index. Returns the folder. Earlier
     folders stay until they are removed.
     """
     folder = f"{out}/{SNAPSHOTS}/{uuid4().hex}"
@@ -166,6 +176,8 @@ def build_snapshot(
         build_positions(source, folder)
     if bounds:
         build_bounds(source.sparkSession, folder)
+    if bitmaps:
+        build_bitmaps(source.sparkSession, folder)
     if store:
         build_store(source, folder)
     publish_snapshot(source.sparkSession, out, folder)
@@ -235,8 +247,19 @@ def build_bounds(spark: SparkSession, out: str) -> None:
     rows.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{out}/{BOUNDS}")
 
 
-def load_index(spark: SparkSession, out: str, positions: bool = False, bounds: bool = False) -> Index:
-    """The index stored below ``out``, all parts of it; with ``positions`` and ``bounds`` what ``build_positions`` and ``build_bounds`` stored."""
+def build_bitmaps(spark: SparkSession, out: str) -> None:
+    """Store the bitmaps of the frequent terms of the index below ``out`` beside it, laid out as its postings are."""
+    n_docs = spark.read.parquet(f"{out}/{LAYOUT}").first().n_docs
+    postings, terms = (spark.read.parquet(f"{out}/{name}") for name in (POSTINGS, VOCABULARY))
+    _, shards, groups = _sized(terms)
+    rows = term_bitmaps(postings, terms, Numbering.of(postings, n_docs))
+    _lay_out(rows, shards, groups, ["term", "bucket"], f"{out}/{BITMAPS}")
+
+
+def load_index(spark: SparkSession, out: str, positions: bool = False, bounds: bool = False, bitmaps: bool = False) -> Index:
+    """The index stored below ``out``, all parts of it; with ``positions``, ``bounds`` and ``bitmaps`` what ``build_positions``,
+    ``build_bounds`` and ``build_bitmaps`` stored.
+    """
     layout = spark.read.parquet(f"{out}/{LAYOUT}").first()
     index = Index(spark.read.parquet(f"{out}/{POSTINGS}"), spark.read.parquet(f"{out}/{VOCABULARY}"), layout.shards)
     if positions:
@@ -246,4 +269,9 @@ def load_index(spark: SparkSession, out: str, positions: bool = False, bounds: b
         rows = spark.read.parquet(f"{out}/{BOUNDS}")
         kept = rows.select("spread").head()
         index = replace(index, bounds=rows, spread=kept.spread if kept else 1)
+    if bitmaps:
+        rows = spark.read.schema(BITMAPS_SCHEMA).parquet(f"{out}/{BITMAPS}")
+        kept = rows.select("span", "base", "least_df").head()
+        if kept:  # none, if no term is frequent
+            index = replace(index, bitmaps=rows, bitmap_shards=layout.shards, numbering=Numbering(*kept))
     return index

@@ -55,7 +55,7 @@ def settle_sized(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, bo
     """
 
     def width(field: T.StructField):
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(field.name), F.lit(0))
         if isinstance(field.dataType, (T.ArrayType, T.StructType)):
             return F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))

@@ -409,18 +409,24 @@ def train(sources: list[str]) -> Trees | None:
     return Trees(np.concatenate(rows), np.concatenate(labels)) if rows else None
 
 
+# Pages that can say what is main text.
+LABELLED = r"(?i)<(article|main)[\s/>]"
+
 _MODEL = pa.schema([("model", pa.binary())])
 
 
 def fit(pages: DataFrame, max_pages: int = TRAINING_PAGES) -> Trees | None:
-    """Fit on at most ``max_pages`` rows of ``pages`` (url, html), those of the smallest hashes, in one task.
+    """Fit on at most ``max_pages`` different texts of ``pages`` (html) that hold an article or main element, those of the smallest
+    hashes, in one task.
 
     Labels come from the pages: elements named article and main hold the main text. Each page is
     also rewritten with other names, classes and surroundings, so that the model does not lean on those names.
     """
-    order = F.xxhash64("url", "html")
-    sample = pages.where("html IS NOT NULL").select(F.col("html").cast("string").alias("html"), order.alias("place"), "url")
-    sample = sample.orderBy("place", "html").limit(max_pages).select("html")
+    html = F.col("html").cast("string").alias("html")
+    labelled = pages.where(html.rlike(LABELLED)).select(html, F.xxhash64(html).alias("place"))
+    # Hashes are chosen first, so that only the chosen pages are exchanged, and of repeated ones one copy of each task.
+    chosen = labelled.select("place").distinct().orderBy("place").limit(max_pages)
+    sample = labelled.join(F.broadcast(chosen), "place").groupBy("place").agg(F.min("html").alias("html")).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [source for batch in batches for source in batch.column("html").to_pylist()]
@@ -439,7 +445,8 @@ def extract(pages: DataFrame, model: Trees | None) -> DataFrame:
     Scripts, styles, the page's title, comments and markup never are text; of the rest the model
     decides by element. Character references are decoded, white space inside a block (``br`` included)
     becomes one space, blocks are joined by line breaks. Null and empty pages, pages without main
-    text, and all pages if there was nothing to fit a model on, have the empty text; repeated rows stay.
+    text, and all pages if there was nothing to fit a model on, have the empty text; repeated rows stay, an
+    empty table gives no rows, and further columns are not read.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

@@ -22,3 +22,20 @@ def test_only_scripts_styles_and_titles_are_skipped():
 
 def test_letters_that_grow_in_lower_case_do_not_shift_the_end_of_a_script():
     assert all_text("<p>" + "İ" * 30 + "</p><script>a</script><p>begin</p><script>b</script><p>end</p>") == "İ" * 30 + "\nbegin\nend"
+
+
+def marked(n):
+    return f"<nav>menu {n}</nav><article><p>{'word ' * 40}{n}</p><p>{'more ' * 30}{n}</p></article><footer>foot {n}</footer>"
+
+
+def test_the_sample_is_of_different_labelled_pages(spark, monkeypatch):
+    """A page that most rows repeat, under many addresses, and pages without labels take no places."""
+    rows = [(n, f"u{n}", marked(n)) for n in range(12)] + [(100 + n, f"x{n}", marked(99)) for n in range(300)]
+    rows += [(1000 + n, f"y{n}", f"<div>plain {n}</div>") for n in range(300)] + [(2000, "z", None), (2001, "z", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(6)
+    monkeypatch.setattr(extraction, "train", lambda sources: sources)
+    assert sorted(extraction.fit(pages)) == sorted(marked(n) for n in [*range(12), 99])
+    few = extraction.fit(pages, 5)
+    assert len(set(few)) == len(few) == 5
+    assert not extraction.fit(pages.where("page_id >= 1000"))
+    assert not extraction.fit(pages.where("false"))

@@ -7,9 +7,10 @@ from time import perf_counter
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from inkdex.functions.weights import inverse_document_frequency
 from inkdex.operators.bitmaps import Numbering, term_bitmaps
 from inkdex.operators.bounds import posting_bounds, spread_for
 from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf_index, vocabulary
@@ -116,10 +117,13 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
     n_postings, shards, groups = _sized(terms)
 
-    postings, written = _observed(tfidf_index(tf, n_docs, terms))
+    # Both follow from what a row has, so they are worked out after the exchange instead of being exchanged and sorted.
+    idf = inverse_document_frequency(F.lit(n_docs), F.col("df"))
+    weights = {"idf": idf, "tfidf": F.col("tf") * idf}
+    postings, written = _observed(tfidf_index(tf, n_docs, terms).drop(*weights))
     # By length within a term, as the best results are sought.
     order = ["term", *(["doc_len"] if "doc_len" in postings.columns else []), "doc_id"]
-    _lay_out(postings, shards, groups, order, f"{out}/{POSTINGS}")
+    _lay_out(postings, shards, groups, order, f"{out}/{POSTINGS}", weights)
     _write_layout(spark, out, n_docs, shards)
     return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
 
@@ -219,11 +223,11 @@ def _divided(spark: SparkSession, n_postings: int) -> tuple[int, int]:
     return shards, max(n_postings // GROUP_POSTINGS, 8 * spark.sparkContext.defaultParallelism) // shards + 1
 
 
-def _lay_out(rows: DataFrame, shards: int, groups: int, order: list[str], path: str) -> None:
-    """Write rows by shard and group of terms, sorted within each file."""
+def _lay_out(rows: DataFrame, shards: int, groups: int, order: list[str], path: str, more: dict[str, Column] | None = None) -> None:
+    """Write rows by shard and group of terms, sorted within each file; columns of ``more`` are added where rows are written."""
     placed = rows.withColumn("shard", shard_of(F.col("term"), shards)).withColumn("group", F.pmod(F.hash("term"), F.lit(groups)))
-    laid_out = placed.hint("rebalance", "shard", "group").drop("group")
-    laid_out.sortWithinPartitions("shard", *order).write.partitionBy("shard").mode("overwrite").parquet(path)
+    laid_out = placed.hint("rebalance", "shard", "group").drop("group").sortWithinPartitions("shard", *order)
+    laid_out.select(*rows.columns, *(value.alias(name) for name, value in (more or {}).items()), "shard").write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
 def build_positions(docs: DataFrame, out: str) -> StageRun:

@@ -153,3 +153,16 @@ def test_join_blocks_is_a_join(spark):
     for size in (1, 4, 1000):
         found = joins.join_blocks(left.join(counts, "k"), right.join(counts, "k"), "k", ("n_left", "l"), ("n_right", "r"), size)
         assert rows(found, "k", "l", "r") == expected
+
+
+def test_what_follows_from_a_posting_is_not_exchanged(spark, monkeypatch, docs, tmp_path):
+    """The weights are worked out where the postings are written."""
+    from inkdex.plans import build
+
+    seen, write = [], build._lay_out
+    monkeypatch.setattr(build, "_lay_out", lambda rows, *more: (seen.append(rows.columns), write(rows, *more)))
+    build.build_index(docs, str(tmp_path), n_docs=3)
+    assert seen == [["term", "doc_id", "n", "doc_len", "tf", "df"]]
+    stored = build.load_index(spark, str(tmp_path)).postings
+    assert stored.columns == ["term", "doc_id", "n", "doc_len", "tf", "df", "idf", "tfidf", "shard"]
+    assert stored.where("tfidf <> tf * idf OR idf <> greatest(0.0D, ln(3.0D / df))").isEmpty() and not stored.isEmpty()

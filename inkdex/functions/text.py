@@ -98,7 +98,19 @@ def parse_int(text: Column) -> Column:
     return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
+def before_last(text: Column, mark: str) -> Column:
+    """What stands before the last ``mark`` of a text that has one."""
+    return text.substr(F.lit(1), F.length(text) - F.length(after_last(text, mark)) - 1)
+
+
+def after_last(text: Column, mark: str) -> Column:
+    """What stands after the last ``mark``; the whole text if there is none."""
+    return F.substring_index(text, mark, -1)
+
+
 def parse_double(text: Column) -> Column:
     """Floating-point number or null; names of special values are case-sensitive."""
+    # No special value is without an n, and looking for one is far cheaper than two patterns.
+    plain = ~F.contains(text, F.lit("n")) & ~F.contains(text, F.lit("N"))
     special = text.rlike(r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*$")
-    return F.when(special | ~text.rlike(r"(?i)inf|nan"), text.try_cast("double"))
+    return F.when(plain | special | ~text.rlike(r"(?i)inf|nan"), text.try_cast("double"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.functions.text import parse_double, parse_int
+from inkdex.functions.text import after_last, before_last, parse_double, parse_int
 from inkdex.session import settle_sized
 
-# How a key and a number are packed into one field, cut at the last mark.
-WORD_AT_DOC = "^(?s)(.*)@([^@]*)$"
-DOC_EQUALS_TF = "^(?s)(.*)=([^=]*)$"
-DOC_COLON_SCORE = "^(?s)(.*):([^:]*)$"
+# What a key and a number are packed into one field with, cut at the last of it.
+WORD_AT_DOC, DOC_EQUALS_TF, DOC_COLON_SCORE = "@", "=", ":"
 
 # Number of a block and of all blocks of its term, at the end of a line that holds one of several.
 BLOCK_MARK = r"\t([0-9]{1,9})/([0-9]{1,9})\z"
@@ -30,7 +31,10 @@ def last_by_line(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 def _two_fields(spark: SparkSession, path: str) -> DataFrame:
     """First and second field of every line that has a non-empty second field or later ones."""
-    fields = spark.read.text(path).select(F.split(F.regexp_replace("value", "\t+$", ""), "\t").alias("f"))
+    # The pattern also finds tabs before a line break at the end; few lines have either.
+    ends = [F.col("value").endswith(end) for end in ("\t", "\n", "\r", "\u0085", "\u2028", "\u2029")]
+    value = F.when(reduce(or_, ends), F.regexp_replace("value", "\t+$", "")).otherwise(F.col("value"))
+    fields = spark.read.text(path).select(F.split(value, "\t").alias("f"))
     return fields.where(F.size("f") >= 2).select(F.col("f")[0].alias("key"), F.col("f")[1].alias("item"))
 
 
@@ -38,8 +42,8 @@ def read_tokens_text(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, term, n)`` from ``word@docId <tab> n``; malformed lines are dropped."""
     rows = _two_fields(spark, path).where(F.contains("key", F.lit("@")))
     return rows.select(
-        F.regexp_extract("key", WORD_AT_DOC, 2).alias("doc_id"),
-        F.regexp_extract("key", WORD_AT_DOC, 1).alias("term"),
+        after_last(F.col("key"), WORD_AT_DOC).alias("doc_id"),
+        before_last(F.col("key"), WORD_AT_DOC).alias("term"),
         parse_int(F.col("item")).alias("n"),
     ).where("n is not null")
 
@@ -67,8 +71,8 @@ def read_tf_text(spark: SparkSession, path: str) -> DataFrame:
     packed = F.contains("item", F.lit("="))
     return rows.select(
         F.col("key").alias("term"),
-        F.when(packed, F.regexp_extract("item", DOC_EQUALS_TF, 1)).alias("doc_id"),
-        F.when(packed, parse_double(F.regexp_extract("item", DOC_EQUALS_TF, 2))).alias("tf"),
+        F.when(packed, before_last(F.col("item"), DOC_EQUALS_TF)).alias("doc_id"),
+        F.when(packed, parse_double(after_last(F.col("item"), DOC_EQUALS_TF))).alias("tf"),
     )
 
 
@@ -88,7 +92,7 @@ def read_postings_text(spark: SparkSession, path: str) -> DataFrame:
     A line may end in ``<tab> block/blocks``, as ``write_postings_text`` marks those of a term that has several; without the
     mark it is the only one of its term. The last line of a term tells the number of its blocks, and lines of another number are
     out of date; of the others the last line of each block wins, then the last score of a document. Entries without a number are
-    skipped. Lines never meet, so a term may have any number of documents. The lines are read twice, once for the numbers.
+    skipped. Lines never meet, so a term may have any number of documents. The lines are read three times, twice for the numbers.
     """
     tab = F.instr("value", F.lit("\t"))
     cut = text_lines(spark, path).where(tab > 0).select(
@@ -106,17 +110,29 @@ def read_postings_text(spark: SparkSession, path: str) -> DataFrame:
     dated = numbers.groupBy("term").agg(F.max_by("n_blocks", "line_at").alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
     dated, few = settle_sized(dated.select("term", "latest"), "dated")
     lines = lines.join(F.broadcast(dated) if few else dated, "term", "left").where("latest IS NULL OR n_blocks = latest")
-    last = lines.groupBy("term", "block").agg(F.max_by("entries", "line_at").alias("entries"))
-    entries = last.select("term", "block", F.posexplode(F.split("entries", ",")).alias("at", "entry"))
+    entries = _last_lines(lines).select("term", "block", F.posexplode(F.split("entries", ",")).alias("at", "entry"))
     scored = entries.where(F.contains("entry", F.lit(":"))).select(
         "term",
-        F.regexp_extract("entry", DOC_COLON_SCORE, 1).alias("doc_id"),
-        parse_double(F.regexp_extract("entry", DOC_COLON_SCORE, 2)).alias("tfidf"),
-        F.struct("block", "at").alias("at"),
+        before_last(F.col("entry"), DOC_COLON_SCORE).alias("doc_id"),
+        parse_double(after_last(F.col("entry"), DOC_COLON_SCORE)).alias("tfidf"),
+        # Block and place as one number, which is grouped by hash; a struct would be sorted.
+        F.shiftleft(F.col("block").cast("bigint"), 32).bitwiseOR(F.col("at").cast("bigint")).alias("at"),
     )
     return scored.where("tfidf is not null").groupBy("term", "doc_id").agg(F.max_by("tfidf", "at").alias("tfidf"))
 
 
+def _last_lines(lines: DataFrame) -> DataFrame:
+    """``(term, block, entries)``: the last line of each block; only lines of blocks that have several are exchanged."""
+    several = lines.groupBy("term", "block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("term", "block")
+    several, few = settle_sized(several, "several")
+    own = lines.select("term", "block", "entries", "line_at")
+    if several.isEmpty():
+        return own.drop("line_at")
+    several = F.broadcast(several) if few else several
+    last = own.join(several, ["term", "block"], "left_semi").groupBy("term", "block").agg(F.max_by("entries", "line_at").alias("entries"))
+    return own.join(several, ["term", "block"], "left_anti").drop("line_at").unionByName(last)
+
+
 def write_postings_text(blocks: DataFrame, path: str) -> None:
     """One line per posting block, sorted by term within each file; exchanges nothing.
 

@@ -196,3 +196,19 @@ def test_writers_lose_nothing(spark, tmp_path):
     for title in (("1", "two\nlines"), ('a"b', "title")):
         with pytest.raises(Exception, match="cannot hold"):
             ix.write_titles(spark.createDataFrame([title], "doc_id string, title string"), str(tmp_path / "bad"))
+
+
+def test_lines_of_postings_are_not_exchanged(spark, tmp_path):
+    """Of lines that come once only entries are, without a sort; of a block that comes again the last line counts."""
+    (tmp_path / "a").write_text("x\t1:0.5,2:0.25\ny\t1:0.5\t0/2\ny\t3:1.5\t1/2\n")
+    plan = ix.read_postings_text(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan and "max_by(entries" not in plan
+    (tmp_path / "b").write_text("x\t1:0.75\ny\t1:NaN,1:nan,4:1e-3,a:b:2\t0/2\n")
+    found = {(r.term, r.doc_id): str(r.tfidf) for r in ix.read_postings_text(spark, str(tmp_path)).collect()}
+    assert found == {("x", "1"): "0.75", ("y", "1"): "nan", ("y", "4"): "0.001", ("y", "a:b"): "2.0", ("y", "3"): "1.5"}
+
+
+def test_special_lines_of_frequencies(spark, tmp_path):
+    (tmp_path / "a").write_text("t\ta=b=0.5\t\t\nu\t\t\nv\t1=\nw\t2=Infinity\nx\t=1\ny\t3=inf\nz\t4=nothing\n")
+    found = {r.term: (r.doc_id, r.tf) for r in ix.read_tf_text(spark, str(tmp_path)).collect()}
+    assert found == {"t": ("a=b", 0.5), "v": ("1", None), "w": ("2", float("inf")), "x": ("", 1.0), "y": ("3", None), "z": ("4", None)}

@@ -53,7 +53,7 @@ def term_positions(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFra
         own = (place % block_tokens) * 4 + marks
         digits = (F.lpad(F.floor(place / block_tokens).cast("string"), 8, "0"), F.lpad(own.cast("string"), 10, "0"))
         marked = F.concat_ws(" ", F.lower(F.replace(token, F.lit("_"), F.lit(""))), *digits)
-        # Most tokens have no mark and lie in the first block, which takes a third of the steps.
+        # Most tokens have no mark and lie in the first block: fewer steps.
         plain = F.concat(F.lower(token), F.lit(f" {0:08d} "), F.lpad((place * 4).cast("string"), 10, "0"))
         return F.when((place < block_tokens) & ~F.contains(token, F.lit("_")), plain).otherwise(marked)
 

@@ -41,6 +41,20 @@ def join_by_weight(rows: DataFrame, keyed: DataFrame, key: str, weight: str, hot
     return common.unionByName(rare.join(cold, key))
 
 
+def join_at_documents(rows: DataFrame, wanted: DataFrame, few: bool) -> DataFrame:
+    """Inner join of ``rows`` by term and document with ``wanted``, a stored table of these two columns and others.
+
+    A table that is ``few`` is broadcast. Of a larger one the documents are, so that of ``rows`` only those of
+    these documents are exchanged; both sides are exchanged as they are only if not even the ids fit a broadcast.
+    """
+    if few:
+        return rows.join(F.broadcast(wanted), ["term", "doc_id"])
+    ids, few_ids = session.settle_sized(wanted.select("doc_id").distinct(), "ids")
+    if few_ids:
+        rows = rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    return rows.join(wanted, ["term", "doc_id"])
+
+
 # Rows per side and key that one group of a join by blocks holds.
 BLOCK_ROWS = 10_000
 

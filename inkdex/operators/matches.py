@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkdex.functions.text import TOKEN_ANY_CASE, phrase_regex, split_terms
 from inkdex.operators.index import spread
-from inkdex.operators.joins import join_by_weight
+from inkdex.operators.joins import join_at_documents, join_by_weight
 from inkdex.operators.parts import has_parts, part_matches, part_offsets
 from inkdex.operators.positions import BLOCK_TOKENS, phrase_counts, starts_of, term_positions
 from inkdex.operators.postings import Index
@@ -132,7 +132,7 @@ def _phrases(asked: DataFrame, texts: DataFrame, index: Index | None) -> DataFra
         positions = index.positions_near(terms, few_terms)
     else:
         positions = settle(term_positions(texts), "positions")
-    met = positions.select("term", "doc_id", "block", "at").join(F.broadcast(wanted) if few else wanted, ["term", "doc_id"])
+    met = join_at_documents(positions.select("term", "doc_id", "block", "at"), wanted, few)
     return starts_of(met, ["doc_id", "terms"], BLOCK_TOKENS).drop("n_terms")
 
 

@@ -13,7 +13,7 @@ from inkdex.functions.text import phrase_pattern, phrase_regex, split_terms, tok
 from inkdex.operators.bitmaps import common_documents, of_documents
 from inkdex.operators.bounds import FREQUENT, MORE, ROOM, document_block, promising, query_blocks, still_open
 from inkdex.operators.index import spread
-from inkdex.operators.joins import join_blocks, join_by_weight
+from inkdex.operators.joins import join_at_documents, join_blocks, join_by_weight
 from inkdex.operators.parts import has_parts, part_matches
 from inkdex.operators.positions import BLOCK_TOKENS, phrase_starts, starts_of, term_positions
 from inkdex.operators.postings import Index
@@ -200,7 +200,7 @@ def _standing_together(positions: DataFrame, phrases: DataFrame) -> DataFrame:
     """Those hits ``(query_id, doc_id, score, terms)`` whose terms stand next to each other, by positional postings."""
     wanted = phrases.select("query_id", "doc_id", "score", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
     wanted, few = settle_sized(wanted, "wanted")
-    met = positions.select("term", "doc_id", "block", "at").join(F.broadcast(wanted) if few else wanted, ["term", "doc_id"])
+    met = join_at_documents(positions.select("term", "doc_id", "block", "at"), wanted, few)
     return starts_of(met, ["query_id", "doc_id", "score"], BLOCK_TOKENS).select("query_id", "doc_id", "score").distinct()
 
 
@@ -295,7 +295,7 @@ def _batch_hits(index: Index, asked: _Asked, allowed: DataFrame | None = None) -
     )
     pairs = pairs.select("query_id", "doc_id", "n_known", "lead", "other.term", "other.weight", "other.pos")
     pairs, few_pairs = settle_sized(pairs, "pairs")
-    found = postings.join(F.broadcast(pairs) if few_pairs else pairs, ["term", "doc_id"])
+    found = join_at_documents(postings, pairs, few_pairs)
     parts = found.groupBy("query_id", "doc_id", "n_known", "lead").agg(F.collect_list(part).alias("rest"))
     # Scores are added in query order, so that equal documents have equal sums.
     in_order = F.sort_array(F.concat(F.array("lead"), "rest"))["score"]

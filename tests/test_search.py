@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import inkdex as ix
 from inkdex import session
-from inkdex.operators import bounds
+from inkdex.operators import bounds, joins
 from inkdex.operators import search as search_module
 
 SEARCH = {
@@ -222,3 +222,26 @@ def test_ranks_beyond_the_partial_ones(spark, index, monkeypatch):
     queries = spark.createDataFrame([(1, "the"), (2, "wizard")], "query_id bigint, query string")
     found = ordered(ix.search_batch(index, queries, top=2))
     assert [(q, d, r) for q, d, _, r in found] == [(1, "1", 1), (1, "10", 2), (2, "1", 1), (2, "10", 2)]
+
+
+def test_pairs_too_many_to_broadcast_exchange_only_postings_of_their_documents(spark, index, asked, monkeypatch):
+    expected = rows(ix.search_batch(index, asked))
+    monkeypatch.setattr(search_module, "settle_sized", lambda df, purpose: (session.settle(df, purpose), False))
+    monkeypatch.setattr(search_module, "BROADCAST_POSTINGS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = ix.search_batch(index, asked)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert rows(hits) == expected and "LeftSemi" in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_join_at_documents_is_a_join(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", broadcast_bytes)
+    left = spark.range(60).select(F.when(F.col("id") % 3 > 0, "a").alias("term"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("doc_id"), F.col("id").alias("l"))
+    right = spark.range(20).select(F.when(F.col("id") % 4 > 0, "a").otherwise("b").alias("term"), F.when(F.col("id") > 0, F.col("id") % 3).alias("doc_id"), F.col("id").alias("r"))
+    expected = rows(left.join(right, ["term", "doc_id"]), "term", "doc_id", "l", "r")
+    for few in (True, False):
+        assert rows(joins.join_at_documents(left, right, few), "term", "doc_id", "l", "r") == expected

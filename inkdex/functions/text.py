@@ -28,6 +28,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def pieces(text: Column, length: int) -> Column:
+    """A text in lower case, cut into pieces of at least ``length`` code points (the last may be shorter) that end where a token ends."""
+    return F.regexp_extract_all(F.lower(text), F.lit(f"(?s).{{1,{length}}}+[a-z0-9]*+"), F.lit(0))
+
+
 def split_terms(query: str | None) -> list[str]:
     """The tokens of one literal query, in order and with repeats."""
     return re.findall(TOKEN, (query or "").lower())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkdex.functions.text import run_length, run_term, term_runs, tokens
+from inkdex.functions.text import pieces, run_length, run_term, term_runs, tokens
 from inkdex.functions.weights import inverse_document_frequency, term_frequency
 from inkdex.operators.joins import HOT_KEYS, join_by_weight
 from inkdex.session import settle
@@ -13,6 +13,9 @@ from inkdex.session import settle
 # Postings per block of the nested form. A term with more is held in several rows.
 BLOCK_POSTINGS = 65_536
 
+# Bytes of a text beyond which its tokens are counted piece by piece, and code points of a piece.
+LONG_TEXT, PIECE = 4 << 20, 1 << 20
+
 
 def spread(rows: DataFrame) -> DataFrame:
     """Deal a plain scan of few input splits evenly to the cores.
@@ -32,19 +35,43 @@ def term_frequencies(docs: DataFrame, whole: bool = True) -> DataFrame:
     the row: there is no exchange, and the document length comes along as ``doc_len``. Otherwise a
     document may span any number of rows; the counts of each row are summed by document and term,
     partial sums first.
+
+    A text of more than ``LONG_TEXT`` bytes is cut into pieces that are dealt to the cores, since the list of its tokens
+    would take many times its size in one task and sorting it more than in proportion. Only counts of its pieces are exchanged.
     """
-    # Staged selects: with one select the optimizer would tokenise again above the generator. The
-    # outer form of explode: for the inner one it infers a filter on the array, pushes it to the scan
-    # and tokenises there as well.
-    cut = spread(docs.select("doc_id", "text")).select("doc_id", tokens(F.col("text")).alias("tokens"))
-    runs = cut.select("doc_id", F.size("tokens").cast("bigint").alias("doc_len"), term_runs(F.col("tokens")).alias("runs"))
-    rows = runs.select("doc_id", F.explode_outer("runs").alias("run"), "doc_len").where("run is not null")
-    counts = rows.select("doc_id", run_term(F.col("run")).alias("term"), run_length(F.col("run")).alias("n"), "doc_len")
+    long = F.coalesce(F.octet_length("text") > LONG_TEXT, F.lit(False))
+    counts = _row_counts(spread(docs.select("doc_id", "text").where(~long))).unionByName(_long_counts(docs.where(long), whole))
     if whole:
         return counts
     return counts.groupBy("doc_id", "term").agg(F.sum("n").alias("n"))
 
 
+def _long_counts(docs: DataFrame, whole: bool) -> DataFrame:
+    """Counts of rows with long texts, one row per row of ``docs`` and term if ``whole``; else those of their pieces."""
+    cut = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), pieces(F.col("text"), PIECE).alias("pieces"))
+    doc_len = F.aggregate("pieces", F.lit(0).cast("bigint"), lambda n, piece: n + F.size(tokens(piece)))
+    cut = cut.select("doc_id", "row", "pieces", doc_len.alias("row_len"))
+    rows = cut.select("doc_id", "row", "row_len", F.explode_outer("pieces").alias("text")).where("text is not null")
+    # By the text, so that a task that runs again deals them as before; as many tasks as that, however few bytes there are.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = _row_counts(rows.repartition(parts, F.xxhash64("text")), "row", "row_len")
+    if not whole:
+        return counts.drop("row", "row_len")
+    summed = counts.groupBy("doc_id", "row", "term").agg(F.sum("n").alias("n"), F.max("row_len").alias("doc_len"))
+    return summed.drop("row")
+
+
+def _row_counts(docs: DataFrame, *more: str) -> DataFrame:
+    """``(doc_id, term, n, doc_len, *more)`` of each row by itself."""
+    # Staged selects: with one select the optimizer would tokenise again above the generator. The
+    # outer form of explode: for the inner one it infers a filter on the array, pushes it to the scan
+    # and tokenises there as well.
+    cut = docs.select("doc_id", *more, tokens(F.col("text")).alias("tokens"))
+    runs = cut.select("doc_id", *more, F.size("tokens").cast("bigint").alias("doc_len"), term_runs(F.col("tokens")).alias("runs"))
+    rows = runs.select("doc_id", *more, F.explode_outer("runs").alias("run"), "doc_len").where("run is not null")
+    return rows.select("doc_id", run_term(F.col("run")).alias("term"), run_length(F.col("run")).alias("n"), "doc_len", *more)
+
+
 def document_lengths(docs: DataFrame, whole: bool = True) -> DataFrame:
     """``(doc_id, doc_len)`` of the documents that have tokens."""
     lengths = docs.select("doc_id", F.size(tokens(F.col("text"))).cast("bigint").alias("doc_len"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkdex.functions import text as T
 from inkdex.functions.headers import title_from_head, untitled
+from inkdex.operators import index as index_module
 from inkdex.operators.index import term_frequencies
 
 
@@ -51,6 +52,25 @@ def test_a_term_repeated_very_often_is_counted(spark):
     assert rows(term_frequencies(docs), "term", "n", "doc_len") == [("the", 2000000, 2000001), ("then", 1, 2000001)]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1000])
+def test_long_texts_are_counted_in_pieces(spark, monkeypatch, piece):
+    """Rows stay apart even if they have one id; letters that become longer in lower case, or ASCII, do not cut tokens."""
+    monkeypatch.setattr(index_module, "LONG_TEXT", 20)
+    monkeypatch.setattr(index_module, "PIECE", piece)
+    texts = [(1, "the Wizard of\nOz, the wizard of Oz"), (1, "the the the the the the"), (None, "\u0130stanbul \U0001f600\u212aelvin 2nd_half 2nd_half"), (2, "short the")]
+    texts += [(3, " ,;- " * 9), (4, None), (5, ""), (6, "x" * 90)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    expected, lines = [], []
+    for doc_id, text in texts:
+        found = re.findall("[a-z0-9]+", (text or "").lower())
+        expected += [(str(doc_id), term, found.count(term), len(found)) for term in set(found)]
+        lines += [(str(doc_id), term) for term in found]
+    named = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("None")).alias("doc_id"), "text")
+    assert rows(term_frequencies(named), "doc_id", "term", "n", "doc_len") == sorted(expected)
+    summed = [(*key, lines.count(key)) for key in sorted(set(lines))]
+    assert rows(term_frequencies(named, whole=False), "doc_id", "term", "n") == summed
+
+
 def test_phrase_boundaries(spark):
     regex = T.phrase_regex(["wizard", "of"])
     texts = {"x_wizard of": False, "éwizard of": True, "Wizard -- OF.": True, "wizard off": False, "wizard of_": False}

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from inkdex.functions.weights import inverse_document_frequency
+from inkdex.functions.weights import inverse_document_frequency, term_frequency
 from inkdex.operators.bitmaps import Numbering, term_bitmaps
 from inkdex.operators.bounds import posting_bounds, spread_for
 from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf_index, vocabulary
@@ -20,7 +20,7 @@ from inkdex.operators.postings import Index, shard_of
 from inkdex.session import settle
 from inkdex.sources.corpus import count_documents
 from inkdex.sources.stage_text import read_postings_text
-from inkdex.sources.store import build_store
+from inkdex.sources.store import CODEC, build_store
 
 # Stages and the folder each one writes.
 STAGES = ["all", "job1", "job2", "job3"]
@@ -77,7 +77,7 @@ def build_index(
     if stage in ("all", "job3"):
         if not n_docs:
             raise ValueError("the number of documents must be given, and must not be zero")
-        runs.append(_write_postings(rows, out, n_docs))
+        runs.append(_write_postings(rows, out, n_docs, own=stage == "all"))
     told = spark.createDataFrame([(r.stage, r.records_in, r.records_out, r.seconds) for r in runs], RUNS_SCHEMA)
     told.coalesce(1).write.mode("overwrite").parquet(f"{out}/{RUNS}")
     return runs
@@ -92,7 +92,7 @@ def _write_tokens(docs: DataFrame, path: str, whole: bool) -> StageRun:
     start = perf_counter()
     docs, read = _observed(docs)
     counts, written = _observed(term_frequencies(docs, whole))
-    counts.write.mode("overwrite").parquet(path)
+    counts.write.mode("overwrite").option(*CODEC).parquet(path)
     return StageRun("job1", read.get["rows"], written.get["rows"], perf_counter() - start)
 
 
@@ -100,12 +100,12 @@ def _write_tf(counts: DataFrame, path: str) -> StageRun:
     start = perf_counter()
     counts, read = _observed(counts)
     tf, written = _observed(normalize_tf(counts))
-    tf.write.mode("overwrite").parquet(path)
+    tf.write.mode("overwrite").option(*CODEC).parquet(path)
     return StageRun("job2", read.get["rows"], written.get["rows"], perf_counter() - start)
 
 
-def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
-    """Vocabulary first, then the postings, laid out for lookups by term.
+def _write_postings(tf: DataFrame, out: str, n_docs: int, own: bool = False) -> StageRun:
+    """Vocabulary first, then the postings, laid out for lookups by term. ``own`` rows are as ``normalize_tf`` gave them.
 
     The postings are exchanged once, by shard and group of terms; adaptive execution splits the groups
     that a very common term makes large. Within a file they are sorted, so that the row groups
@@ -117,10 +117,13 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int) -> StageRun:
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
     n_postings, shards, groups = _sized(terms)
 
-    # Both follow from what a row has, so they are worked out after the exchange instead of being exchanged and sorted.
+    # What follows from other columns of a row is worked out after the exchange instead of being exchanged and sorted.
     idf = inverse_document_frequency(F.lit(n_docs), F.col("df"))
-    weights = {"idf": idf, "tfidf": F.col("tf") * idf}
+    frequency = term_frequency(F.col("n"), F.col("doc_len")) if own else F.col("tf")
+    weights = {"idf": idf, "tfidf": frequency * idf}
     postings, written = _observed(tfidf_index(tf, n_docs, terms).drop(*weights))
+    if own:
+        weights["tf"] = frequency
     # By length within a term, as the best results are sought.
     order = ["term", *(["doc_len"] if "doc_len" in postings.columns else []), "doc_id"]
     _lay_out(postings, shards, groups, order, f"{out}/{POSTINGS}", weights)
@@ -224,10 +227,17 @@ def _divided(spark: SparkSession, n_postings: int) -> tuple[int, int]:
 
 
 def _lay_out(rows: DataFrame, shards: int, groups: int, order: list[str], path: str, more: dict[str, Column] | None = None) -> None:
-    """Write rows by shard and group of terms, sorted within each file; columns of ``more`` are added where rows are written."""
-    placed = rows.withColumn("shard", shard_of(F.col("term"), shards)).withColumn("group", F.pmod(F.hash("term"), F.lit(groups)))
-    laid_out = placed.hint("rebalance", "shard", "group").drop("group").sortWithinPartitions("shard", *order)
-    laid_out.select(*rows.columns, *(value.alias(name) for name, value in (more or {}).items()), "shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+    """Write rows by shard and group of terms, sorted within each file.
+
+    Columns of ``more`` are worked out where rows are written; one that the rows have already is not exchanged.
+    """
+    more = more or {}
+    columns = [more.get(c, F.col(c)).alias(c) for c in rows.columns] + [value.alias(c) for c, value in more.items() if c not in rows.columns]
+    # Shard and group as one number, to exchange less.
+    lot = shard_of(F.col("term"), shards) * groups + F.pmod(F.hash("term"), F.lit(groups))
+    placed = rows.drop(*more).withColumn("lot", lot).hint("rebalance", "lot")
+    laid_out = placed.withColumn("shard", F.floor(F.col("lot") / groups).cast("int")).drop("lot").sortWithinPartitions("shard", *order)
+    laid_out.select(*columns, "shard").write.partitionBy("shard").mode("overwrite").option(*CODEC).parquet(path)
 
 
 def build_positions(docs: DataFrame, out: str) -> StageRun:

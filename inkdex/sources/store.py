@@ -14,6 +14,9 @@ from inkdex.session import settle_sized
 
 STORE, STORE_LAYOUT = "documents", "documents_layout"
 
+# Stored parts are read often and take most of the disk: a fifth to a third less of it than by default.
+CODEC = "compression", "zstd"
+
 # Size of the store's parts, in bytes of text. A shard is a directory that a fetch can skip, a group is a set of
 # ids that is kept together in one file where it fits.
 SHARD_BYTES = 2 << 30
@@ -111,7 +114,7 @@ def build_store(docs: DataFrame, out: str, shards: int | None = None) -> None:
     group = F.pmod(F.hash("doc_id"), F.lit(groups))
     placed = texts.withColumn("shard", shard_of_id(F.col("doc_id"), shards)).withColumn("group", group)
     laid_out = placed.hint("rebalance", "shard", "group").drop("group").sortWithinPartitions("shard", "doc_id", *part)
-    writer = laid_out.write.option("parquet.bloom.filter.enabled#doc_id", "true").partitionBy("shard")
+    writer = laid_out.write.option(*CODEC).option("parquet.bloom.filter.enabled#doc_id", "true").partitionBy("shard")
     writer.mode("overwrite").parquet(f"{out}/{STORE}")
     spark.range(1).select(F.lit(shards).alias("shards")).coalesce(1).write.mode("overwrite").parquet(f"{out}/{STORE_LAYOUT}")
 

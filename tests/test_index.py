@@ -166,3 +166,31 @@ def test_what_follows_from_a_posting_is_not_exchanged(spark, monkeypatch, docs,
     stored = build.load_index(spark, str(tmp_path)).postings
     assert stored.columns == ["term", "doc_id", "n", "doc_len", "tf", "df", "idf", "tfidf", "shard"]
     assert stored.where("tfidf <> tf * idf OR idf <> greatest(0.0D, ln(3.0D / df))").isEmpty() and not stored.isEmpty()
+
+
+def test_tf_of_own_rows_is_not_exchanged(spark, monkeypatch, docs, tmp_path):
+    """A frequency that another stage gave may be any number, and is stored as it is."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from inkdex.plans import build
+
+    seen, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, *more: (seen.append(df.columns), hint(df, *more))[1])
+    build.build_index(docs, str(tmp_path), n_docs=3)
+    assert seen == [["term", "doc_id", "n", "doc_len", "df", "lot"]]
+    own = spark.read.parquet(f"{tmp_path}/index").withColumn("tf", F.col("tf") + 1)
+    build.build_index(own, str(tmp_path), "job3", 3)
+    stored = build.load_index(spark, str(tmp_path)).postings
+    assert rows(stored, "term", "doc_id", "tf") == rows(own, "term", "doc_id", "tf")
+    assert stored.where("tfidf <> tf * idf").isEmpty()
+
+
+def test_stored_parts_are_zstd(spark, docs, tmp_path):
+    import pyarrow.parquet as pq
+
+    ix.build_index(docs, str(tmp_path), n_docs=3)
+    ix.build_positions(docs, str(tmp_path))
+    ix.build_store(docs, str(tmp_path))
+    for part in ("tokens", "index", "tfidf", "positions", "documents"):
+        files = [pq.ParquetFile(file).metadata for file in (tmp_path / part).rglob("*.parquet")]
+        assert {file.row_group(0).column(0).compression for file in files if file.num_row_groups} == {"ZSTD"}

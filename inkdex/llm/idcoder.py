@@ -1,6 +1,7 @@
 """Token ids in files: an adaptive context-mixing range coder over independent, checksummed blocks.
 
-Many blocks are coded side by side, one step of each at a time, so that every operation is one on arrays.
+The ids of a block are dealt to many lanes, which are coded side by side, one id of each at a time, so that
+every operation is one on arrays. The lanes share what the block's model has learned so far.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,280 +21,294 @@ from tokenizers import Tokenizer
 
 from inkdex.llm.common import batch_of, slices
 
-# Most ids of a block, blocks side by side, and ids after which a segment is written (a document is never cut).
-BLOCK_IDS, LANES, SEGMENT_IDS = 4096, 2048, 8 << 20
-# Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 500_000
-
-MAGIC = b"IDX1"
-
-# An id is coded by hexadecimal digits. Order 0: counts of each digit after the digits before it; rows of
-# counts are shared by hash from the fourth digit on. A count grows by STEP; at LIMIT a row is halved.
-_DIRECT, _SHARED, STEP, LIMIT = 1 + 16 + 256, 512, 24, 1000
-_ROWS = _DIRECT + _SHARED
-# Orders 1 and 2: by hash of the ids before, the id that is expected and how sure it is (1 to 7).
-_SLOTS, _SURE = 2048, 7
-# Weight of an expected digit beside the row's counts, in sixteenths of their sum: the odds that such
-# expectations have come true, by 256 steps of their rate, at most 30 to 1.
-_ODDS = np.minimum(np.round(16 * (np.arange(256) + 0.5) / (255.5 - np.arange(256))), 480).astype(np.int64)
-_BELOW = np.triu(np.ones((16, 17), np.float32), 1)
-_TOP, _BOTTOM, _BYTE = np.uint64(1 << 56), np.uint64(1 << 32), np.uint64(8)
-
-
-class _Lanes:
-    """The coding state of blocks side by side; ``lengths`` descend, so that those still at work come first."""
-
-    def __init__(self, lengths: np.ndarray, digits: int) -> None:
-        n = len(lengths)
-        self.lengths, self.digits, self.lane = lengths, digits, np.arange(n)
-        self.counts, self.sums = np.ones((n * _ROWS, 16), np.uint16), np.full(n * _ROWS, 16, np.int32)
-        self.flat = self.counts.ravel()
-        self.expected = np.zeros(2 * n * _SLOTS, np.uint32)
-        self.rates = np.full(2 * n * digits * (_SURE + 1), 1 << 14, np.int32)
-        self.low, self.range = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-
-    def active(self, step: int) -> int:
-        """Blocks that have an id at this step."""
-        n = int(np.searchsorted(-self.lengths, -step, side="left"))
-        if n < len(self.lane):
-            for name in ("lane", "low", "range", "last", "before"):
+# Most ids of a block, most lanes of a block, fewest ids of a lane if there are several, and ids after which a
+# segment is written (a document is never cut).
+BLOCK_IDS, LANES, LANE_IDS, SEGMENT_IDS = 2 << 20, 8192, 256, 8 << 20
+# Words whose ids a worker remembers before it starts anew, bytes of texts it takes at a time, and words that the
+# library is given at a time.
+REMEMBERED, TEXT_BYTES, LEARNED = 1_000_000, 8 << 20, 10_000
+
+MAGIC = b"IDX2"
+
+# Orders 1 and 2: by the id before, and by hash of the two before, the id that is expected and how sure it is
+# (1 to 7, 0: none). Both are kept in one number, the sureness above _SURE bits.
+_SLOTS, _SURE, _ID = 1 << 16, 28, (1 << 28) - 1
+# How sure an expected id is next, by whether it came true (8) and how sure it was; given up below 1.
+_NEXT = np.array([0, 0, 1, 1, 2, 2, 3, 3, 1, 2, 3, 4, 5, 6, 7, 7]) << _SURE
+# Contexts of the weights: sureness of order 1 (3 bits), of order 2 (3 bits), whether both expect the same.
+_CONTEXTS = 128
+_FIRST, _SECOND = np.arange(_CONTEXTS) >> 3 & 7, np.arange(_CONTEXTS) & 7
+_SAME = np.arange(_CONTEXTS) >= 64
+_WORD, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+
+
+class _Model:
+    """What the lanes of a block have learned, and the state of each; ids are numbers below ``size``.
+
+    Order 0 are counts of the block's ids so far. An id that order 1 or 2 expects has its weight added to its
+    count: the odds that such expectations have come true, by how sure both are. Counts and weights are
+    worked out anew after 1, 2, 3, 4, 6, 8, 12, ... steps.
+    """
+
+    def __init__(self, lanes: int, size: int, decodes: bool) -> None:
+        self.size, self.decodes = size, decodes
+        self.most = max(1 << 16, 16 * size)
+        self.counts, self.tally = np.zeros(size, np.int64), np.zeros(4 * _CONTEXTS, np.int64)
+        self.expected = np.zeros(size + 1 + _SLOTS, np.int64)
+        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+        self.last = self.before = np.full(lanes, size, np.int64)
+        self.learned, self.due = 0, 1
+        self.weigh()
+
+    def weigh(self) -> None:
+        seen = int(self.counts.sum())
+        self.widths = 1 + self.counts * (self.most - self.size) // max(seen, 1)
+        ends = np.cumsum(self.widths)
+        self.starts, self.total = ends - self.widths, int(ends[-1])
+        if self.decodes:
+            self.id_at = np.repeat(np.arange(self.size, dtype=np.int32), self.widths)
+        tally = self.tally.reshape(2, 2, _CONTEXTS)  # order 2 came true, order 1 came true, context
+        tries = tally.sum(axis=(0, 1)) + 2
+        first = np.where(_FIRST > 0, tally[:, 1].sum(axis=0), 0) / tries
+        second = np.where((_SECOND > 0) & ~_SAME, tally[1].sum(axis=0), 0) / tries
+        rest = np.maximum(1 - first - second, 1 / 32) / self.total
+        self.first, self.second = (first / rest).astype(np.int64), (second / rest).astype(np.int64)
+
+    def step(self, coder, matrix: np.ndarray, step: int, n: int) -> None:
+        """One id of each of the first ``n`` lanes: row ``step`` of the matrix, which ``coder`` reads or fills."""
+        if step == self.due:
+            self.counts += np.bincount(matrix[self.learned : step].ravel(), minlength=self.size)
+            self.weigh()
+            self.learned, self.due = step, step + max((1 << step.bit_length() - 1) // 2, 1)
+        if n < len(self.last):
+            for name in ("low", "range", "last", "before"):
                 setattr(self, name, getattr(self, name)[:n])
-        return n
-
-    def _row(self, digit: int, prefix: np.ndarray) -> np.ndarray:
-        if digit < 3:
-            place = (0, 1, 17)[digit] + prefix
-        else:
-            place = _DIRECT + ((prefix * 0x9E3779B1 + digit * 0x85EBCA77) >> 13 & _SHARED - 1)
-        return self.lane * _ROWS + place
-
-    def step(self, coder, ids: np.ndarray | None) -> np.ndarray:
-        """One id of every active block; ``coder`` narrows the ranges by the given digit or finds it."""
-        lane, digits, n = self.lane, self.digits, len(self.lane)
-        hashed = self.last * 0x9E3779B1
-        # Order 1 and order 2 of all blocks, one after the other.
-        place = np.concatenate([hashed >> 15, (hashed ^ self.before * 0x85EBCA77 ^ hashed >> 7) >> 9]) & _SLOTS - 1
-        both = np.concatenate([2 * lane, 2 * lane + 1])
-        place += both * _SLOTS
-        told = self.expected.take(place).astype(np.int64)
-        guess, sure = told >> 3, told & 7
-        rate_of = both * (digits * (_SURE + 1)) + sure
-        own = np.flatnonzero(sure)
-        prefix = np.zeros(n, np.int64)
-        for digit in range(digits):
-            shift = 4 * (digits - 1 - digit)
-            row = self._row(digit, prefix)
-            mixed, total = self.counts.take(row, axis=0).astype(np.float32), self.sums.take(row)
-            cells = mixed.ravel()
-            hope = guess.take(own) >> shift & 15
-            at = rate_of.take(own) + digit * (_SURE + 1)
-            rate = self.rates.take(at)
-            where = np.where(own < n, own, own - n)
-            cell, weight = where * 16 + hope, total.take(where) * _ODDS.take(rate >> 8) >> 4
-            half = int(np.searchsorted(own, n))
-            for part in (slice(half), slice(half, None)):
-                cells[cell[part]] = cells.take(cell[part]) + weight[part]
-            below = mixed @ _BELOW
-            symbol = coder(self, below, None if ids is None else ids >> shift & 15)
-            met = symbol.take(where) == hope
-            self.rates[at] = rate + ((met * 65535 - rate) >> 4)
-            own = own[met]
-            cell = row * 16 + symbol
-            self.flat[cell] = self.flat.take(cell) + STEP
-            total += STEP
-            full = np.flatnonzero(total > LIMIT)
-            if len(full):
-                halved = self.counts.take(row[full], axis=0) + 1 >> 1
-                self.counts[row[full]] = halved
-                total[full] = halved.sum(axis=1)
-            self.sums[row] = total
-            prefix = prefix << 4 | symbol
-        coder.settle(self)
-        seen = np.concatenate([prefix, prefix])
-        # A guess that came true is surer; one that did not is given up when it is no longer sure.
-        known, trust = seen, np.ones(2 * n, np.int64)
-        kept = sure > 1
-        known, trust = np.where(kept, guess, known), np.where(kept, sure >> 1, trust)
-        known[own], trust[own] = guess[own], np.minimum(sure[own] + 1, _SURE)
-        self.expected[place] = known << 3 | trust
-        self.before, self.last = self.last, prefix
-        return prefix
+        place = np.empty((2, n), np.int64)
+        place[0] = self.last
+        place[1] = ((self.last * 0x9E3779B1 ^ self.before * 0x85EBCA77) >> 9 & _SLOTS - 1) + (self.size + 1)
+        told = self.expected.take(place)
+        guess, sure = told & _ID, told >> _SURE
+        one, two = guess
+        context = sure[0] << 3 | sure[1]
+        context += (one == two) * 64
+        first, second = self.first.take(context), self.second.take(context)
+        unit = self.range // (first + second + self.total).view(np.uint64)
+        if coder.decodes:
+            matrix[step, :n] = coder.find(self, unit, one, two, first, second)
+        ids = matrix[step, :n]
+        met = guess == ids
+        self.low += (self.starts.take(ids) + first * (one < ids) + second * (two < ids)).view(np.uint64) * unit
+        np.multiply(unit, (self.widths.take(ids) + first * met[0] + second * met[1]).view(np.uint64), out=self.range)
+        small = np.flatnonzero(self.range <= _LOW)
+        if len(small):
+            coder.shift(small, _settle(self, small))
+        context += met[0] * _CONTEXTS
+        context += met[1] * (2 * _CONTEXTS)
+        self.tally += np.bincount(context, minlength=4 * _CONTEXTS)
+        sure += met * 8
+        kept = _NEXT.take(sure)
+        np.copyto(guess, ids, where=kept == 0)
+        # Of lanes that have the same context the surest stays, of equal ones the larger id.
+        self.expected[place] = 0
+        np.maximum.at(self.expected, place.ravel(), (np.maximum(kept, 1 << _SURE) | guess).ravel())
+        self.before, self.last = self.last, ids
+
+
+def _settle(model: _Model, lanes: np.ndarray) -> np.ndarray:
+    """Take the upper half off lows whose range lies below 2**32; a range that the halves cut is cut to its longer part."""
+    low, width = model.low.take(lanes), model.range.take(lanes)
+    below = (np.uint64(0) - low) & _LOW  # up to the next multiple of 2**32
+    cut = (below > 0) & (below < width)
+    upper = cut & (width - below > below)
+    low += below * upper
+    width = np.where(upper, width - below, np.where(cut, below, width))
+    model.low[lanes], model.range[lanes] = low << _WORD, width << _WORD
+    return low >> _WORD
 
 
 class _Encoder:
-    def __init__(self, lanes: int, steps: int) -> None:
-        self.out, self.used = np.zeros((lanes, 2 * steps + 16), np.uint8), np.zeros(lanes, np.int64)
+    decodes = False
 
-    def __call__(self, state: _Lanes, below: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        _narrow(state, below, symbol, state.range // below[:, 16].astype(np.uint64))
-        if (state.range < _BOTTOM).any():
-            self.settle(state)
-        return symbol
-
-    def settle(self, state: _Lanes) -> None:
-        for lanes, low in _settled(state):
-            self.put(lanes, low >> np.uint64(56))
+    def __init__(self, lanes: int, steps: int) -> None:
+        self.out, self.used = np.zeros((lanes, steps + 1), np.uint32), np.zeros(lanes, np.int64)
 
-    def put(self, lanes: np.ndarray, byte: np.ndarray) -> None:
+    def shift(self, lanes: np.ndarray, words: np.ndarray) -> None:
         used = self.used.take(lanes)
-        if used.max() >= self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[lanes, used] = byte
+        self.out[lanes, used] = words
         self.used[lanes] = used + 1
 
-    def finish(self, lows: np.ndarray) -> list[bytes]:
-        lanes = np.arange(len(lows))
-        for shift in range(56, -1, -8):
-            self.put(lanes, lows >> np.uint64(shift) & np.uint64(255))
-        return [row[:n].tobytes() for row, n in zip(self.out, self.used, strict=True)]
+    def finish(self, lows: np.ndarray) -> np.ndarray:
+        self.shift(np.arange(len(lows)), lows + _LOW >> _WORD)
+        return self.out[np.arange(self.out.shape[1]) < self.used[:, None]]
 
 
 class _Decoder:
-    def __init__(self, blocks: list[bytes]) -> None:
-        lengths = np.array([len(b) for b in blocks])
-        self.data = np.zeros((len(blocks), int(lengths.max()) + 16), np.uint8)
-        for row, block in zip(self.data, blocks, strict=True):
-            row[: len(block)] = np.frombuffer(block, np.uint8)
-        self.used = np.full(len(blocks), 8)
-        self.code = np.zeros(len(blocks), np.uint64)
-        for place in range(8):
-            self.code = self.code << _BYTE | self.data[:, place]
-
-    def __call__(self, state: _Lanes, below: np.ndarray, _: None) -> np.ndarray:
-        unit = state.range // below[:, 16].astype(np.uint64)
-        value = ((self.code[: len(unit)] - state.low) // unit).astype(np.float32)
-        passed = np.bitwise_count((below[:, 1:] <= value[:, None]).view(np.uint64))  # 16 flags of a byte each
-        symbol = np.minimum(passed[:, 0] + passed[:, 1], 15).astype(np.int64)
-        _narrow(state, below, symbol, unit)
-        if (state.range < _BOTTOM).any():
-            self.settle(state)
-        return symbol
-
-    def settle(self, state: _Lanes) -> None:
-        for lanes, _ in _settled(state):
-            used = self.used.take(lanes)
-            byte = self.data[lanes, np.minimum(used, self.data.shape[1] - 1)]
-            self.code[lanes] = self.code.take(lanes) << _BYTE | byte
-            self.used[lanes] = used + 1
-
-
-def _narrow(state: _Lanes, below: np.ndarray, symbol: np.ndarray, unit: np.ndarray) -> None:
-    cell = np.arange(0, below.size, 17) + symbol
-    flat = below.ravel()
-    start, stop = flat.take(cell), flat.take(cell + 1)
-    state.low += start.astype(np.uint64) * unit
-    np.multiply((stop - start).astype(np.uint64), unit, out=state.range)
-
-
-def _settled(state: _Lanes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Lanes whose first byte is settled, or whose range is so small that it is cut to settle it, and their lows.
-
-    Each pass takes the byte off; the ranges that remain are long enough for the next digit.
-    """
-    lanes, low, width = np.arange(len(state.lane)), state.low, state.range
-    while True:
-        equal = (low ^ low + width) < _TOP
-        ready = np.flatnonzero(equal | (width < _BOTTOM))
-        if not len(ready):
-            return
-        lanes, low, width, equal = lanes.take(ready), low.take(ready), width.take(ready), equal.take(ready)
-        width = np.where(equal, width, (np.uint64(0) - low) & (_BOTTOM - np.uint64(1)))
-        yield lanes, low
-        low, width = low << _BYTE, width << _BYTE
-        state.low[lanes], state.range[lanes] = low, width
-
-
-def _digits_of(ids: np.ndarray) -> int:
-    return max(-(-int(ids.max()).bit_length() // 4), 1) if len(ids) else 1
+    decodes = True
+
+    def __init__(self, words: np.ndarray, lengths: np.ndarray) -> None:
+        width = int(lengths.max()) + 1  # what follows the last word is 0
+        data = np.zeros((len(lengths), width), np.uint64)
+        data[np.arange(width) < lengths[:, None]] = words
+        self.data, self.at = data.ravel(), np.arange(2, data.size, width)
+        self.code = data[:, 0] << _WORD | data[:, 1]
+
+    def find(self, model: _Model, unit: np.ndarray, one: np.ndarray, two: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        value = ((self.code[: len(unit)] - model.low) // unit).view(np.int64)
+        # Weights stand before the counts of their ids; take off what of them lies below the value.
+        value -= np.minimum(np.maximum(value - model.starts.take(one) - second * (two < one), 0), first)
+        value -= np.minimum(np.maximum(value - model.starts.take(two), 0), second)
+        return model.id_at.take(value, mode="clip")
+
+    def shift(self, lanes: np.ndarray, words: np.ndarray) -> None:
+        at = self.at.take(lanes)
+        self.code[lanes] = self.code.take(lanes) << _WORD | self.data.take(at, mode="clip")
+        self.at[lanes] = at + 1
+
+
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and the place of each id among them."""
+    most = int(ids.max())
+    if most > 16 * len(ids):
+        return np.unique(ids, return_inverse=True)
+    met = np.zeros(most + 1, bool)
+    met[ids] = True
+    return np.flatnonzero(met), (np.cumsum(met) - 1).take(ids)
+
+
+def _encode_block(ids: np.ndarray) -> bytes:
+    """Number of distinct ids and length of the head; head under zlib: distinct ids less the one before, words of each lane; words."""
+    distinct, places = _numbered(ids)
+    steps = -(-len(ids) // min(max(len(ids) // LANE_IDS, 1), LANES))
+    lanes = -(-len(ids) // steps)
+    matrix = np.zeros((lanes, steps), np.int64)
+    matrix.ravel()[: len(ids)] = places
+    matrix, short = np.ascontiguousarray(matrix.T), len(ids) - (lanes - 1) * steps  # only the last lane is shorter
+    model, coder = _Model(lanes, len(distinct), False), _Encoder(lanes, steps)
+    lows = model.low
+    for step in range(steps):
+        model.step(coder, matrix, step, lanes - (step >= short))
+    words = coder.finish(lows)
+    head = zlib.compress(np.concatenate((np.diff(distinct, prepend=0), coder.used)).astype("<u4").tobytes())
+    return struct.pack("<II", len(distinct), len(head)) + head + words.astype("<u4").tobytes()
+
+
+def _decode_block(data: bytes, total: int) -> np.ndarray:
+    size, length = struct.unpack_from("<II", data)
+    head = np.frombuffer(zlib.decompress(data[8 : 8 + length]), "<u4")
+    distinct, lengths = np.cumsum(head[:size], dtype=np.int64).astype(np.uint32), head[size:].astype(np.int64)
+    words = np.frombuffer(data, "<u4", offset=8 + length)
+    lanes = len(lengths)
+    steps = -(-total // min(max(total // LANE_IDS, 1), LANES))
+    short = total - (lanes - 1) * steps
+    matrix = np.zeros((steps, lanes), np.int64)
+    model, coder = _Model(lanes, size, True), _Decoder(words, lengths)
+    for step in range(steps):
+        model.step(coder, matrix, step, lanes - (step >= short))
+    return distinct.take(matrix.T.ravel()[:total])
 
 
 def encode_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     """Ids below 2**28 as bytes: a head, one entry per block, and the blocks.
 
-    Head: "IDX1", digits of an id, ids per block, ids in all. An entry: length and crc32 of the block's
-    bytes, crc32 of its ids. Every block starts from the same state and can be read by itself.
+    Head: "IDX2", ids per block, ids in all. An entry: length and crc32 of the block's bytes, crc32 of
+    its ids. Every block starts from the same state and can be read by itself.
     """
-    digits = _digits_of(ids)
     blocks = [ids[at : at + block_ids] for at in range(0, len(ids), block_ids)]
-    coded: list[bytes] = []
-    for at in range(0, len(blocks), LANES):
-        group = blocks[at : at + LANES]  # only the last block of all is shorter
-        lengths = np.array([len(b) for b in group])
-        matrix = np.zeros((int(lengths[0]), len(group)), np.uint32)
-        for column, block in enumerate(group):
-            matrix[: len(block), column] = block
-        state, coder = _Lanes(lengths, digits), _Encoder(len(group), int(lengths[0]))
-        lows = state.low
-        for step in range(int(lengths[0])):
-            n = state.active(step)
-            state.step(coder, matrix[step, :n].astype(np.int64))
-        coded.extend(coder.finish(lows))
+    coded = [_encode_block(b) for b in blocks]
     entries = [(len(c), zlib.crc32(c), zlib.crc32(b.astype("<u4").tobytes())) for c, b in zip(coded, blocks, strict=True)]
-    head = MAGIC + struct.pack("<BIQ", digits, block_ids, len(ids))
+    head = MAGIC + struct.pack("<IQ", block_ids, len(ids))
     return head + b"".join(struct.pack("<III", *e) for e in entries) + b"".join(coded)
 
 
 def decode_ids(data: bytes) -> np.ndarray:
     """Inverse of ``encode_ids``; a block that does not have its checksums raises ValueError."""
-    size = struct.calcsize("<BIQ")
+    size = struct.calcsize("<IQ")
     if data[:4] != MAGIC:
         raise ValueError("not a file of coded ids")
-    digits, block_ids, total = struct.unpack("<BIQ", data[4 : 4 + size])
+    block_ids, total = struct.unpack("<IQ", data[4 : 4 + size])
     n = -(-total // block_ids)
     at = 4 + size
     entries = [struct.unpack_from("<III", data, at + 12 * i) for i in range(n)]
     at += 12 * n
-    coded = []
-    for length, check, _ in entries:
-        coded.append(data[at : at + length])
-        if zlib.crc32(coded[-1]) != check:
+    ids = np.empty(total, np.uint32)
+    for i, (length, check, ids_check) in enumerate(entries):
+        coded = data[at : at + length]
+        if zlib.crc32(coded) != check:
+            raise ValueError("a block of coded ids is damaged")
+        block = _decode_block(coded, min(block_ids, total - i * block_ids)).astype("<u4")
+        if zlib.crc32(block.tobytes()) != ids_check:
             raise ValueError("a block of coded ids is damaged")
+        ids[i * block_ids :][: len(block)] = block
         at += length
-    ids = np.empty(total, np.uint32)
-    for first in range(0, n, LANES):
-        group = coded[first : first + LANES]
-        lengths = np.array([min(block_ids, total - (first + i) * block_ids) for i in range(len(group))])
-        matrix = np.zeros((int(lengths[0]), len(group)), np.uint32)
-        state, coder = _Lanes(lengths, digits), _Decoder(group)
-        for step in range(int(lengths[0])):
-            count = state.active(step)
-            matrix[step, :count] = state.step(coder, None)
-        for column, length in enumerate(lengths.tolist()):
-            block = matrix[:length, column].astype("<u4")
-            if zlib.crc32(block.tobytes()) != entries[first + column][2]:
-                raise ValueError("a block of coded ids is damaged")
-            ids[(first + column) * block_ids :][:length] = block
     return ids
 
 
-def block_length(n_ids: int) -> int:
-    """Ids of a block, fewer in small segments, which else would have few blocks to code side by side."""
-    return min(max(n_ids // LANES, 256), BLOCK_IDS)
-
-
 class WordIds(dict):
     """Ids of texts word by word, as little-endian bytes; a word is what ASCII white space sets apart.
 
-    The library's vocabulary drops white space and never joins words across it, so a text has the ids
-    of its words. Each word that is not remembered is given to the library.
+    The library's vocabulary drops nothing but white space and never joins words across it, so a text has
+    the ids of its words. Words that are not remembered are given to the library, many as one text. Where
+    they end there is told by the ids that close a piece, if words of letters have one piece each, or by a
+    mark of one id between them, which no word has that does not hold the mark itself.
     """
 
+    MARK = b"\x01"
+
     def __init__(self, source: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.closes, self.marks = np.zeros((2, max(vocabulary.values()) + 1), bool)
+        if suffix:
+            self.closes[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
+        mark = self.ids_of(self.MARK)
+        if len(mark) == 1:
+            self.marks[mark] = True
+
+    def ids_of(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        value = self[word] = np.array(ids, "<u4").tobytes()
+        value = self[word] = self.ids_of(word).tobytes()
         return value
 
-    def encode(self, text: str) -> bytes:
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of words; what this leaves out is found one by one."""
         if len(self) > REMEMBERED:
             self.clear()
-        return b"".join(map(self.__getitem__, text.encode().split()))
+        self._learn([w for w in words if w not in self and w.isalpha()], b" ", self.closes, 0)
+        self._learn([w for w in words if w not in self and self.MARK not in w], b" " + self.MARK + b" ", self.marks, 1)
+
+    def _learn(self, words: list[bytes], between: bytes, last: np.ndarray, extra: int) -> None:
+        """``last`` tells the ids at which words end, the last ``extra`` of which are not the word's."""
+        for at in range(0, len(words), LEARNED):
+            some = words[at : at + LEARNED]
+            ids = self.ids_of(between.join([*some, b""]))
+            ends = 4 * (np.flatnonzero(last.take(ids)) + 1)
+            if len(ends) == len(some):
+                coded, stops = ids.tobytes(), ends.tolist()
+                for word, start, stop in zip(some, [0, *stops], stops):
+                    self[word] = coded[start : stop - 4 * extra]
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, none of them null, in a row, and how many each has."""
+        words = pc.ascii_split_whitespace(texts)
+        held = words.flatten().dictionary_encode()
+        distinct = held.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        self.learn(distinct)
+        coded = [self[w] for w in distinct]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.concatenate(([0], np.cumsum(lengths)))
+        lists = pa.LargeListArray.from_arrays(starts, np.frombuffer(b"".join(coded), "<u4"))
+        ids = lists.take(held.indices).flatten().to_numpy()
+        before = np.concatenate(([0], np.cumsum(lengths.take(held.indices.to_numpy()))))
+        ends = np.cumsum(pc.list_value_length(words).to_numpy())
+        return ids, np.diff(before.take(ends), prepend=0)
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all(pa.array([text]))[0].tobytes()
 
 
 _loaded: dict[int, WordIds] = {}
@@ -319,6 +335,16 @@ _SEGMENTS = pa.schema(
 _SEGMENTS_SQL = "part int, segment int, n_ids bigint, doc_ids array<bigint>, counts array<bigint>, payload binary"
 
 
+def _of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches (doc_id, text) in slices of one text and less than TEXT_BYTES of others."""
+    for batch in batches:
+        cells = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64) // TEXT_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            if start < stop:
+                yield batch.slice(start, stop - start)
+
+
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None:
     """Encode all rows of ``docs`` (doc_id, text) and write their ids to the folder ``path``.
 
@@ -331,23 +357,23 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None:
     """
     with open(tokenizer, encoding="utf-8") as file:  # its size does not depend on the data
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, number = _load(shared.value), TaskContext.get().partitionId(), 0
         doc_ids, coded, size = [], [], 0
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(coded), "<u4")
-            counts = [len(c) // 4 for c in coded]
-            payload = encode_ids(ids, block_length(len(ids)))
-            return batch_of(_SEGMENTS, [[part], [number], [len(ids)], [doc_ids], [counts], [payload]])
-
-        for batch in slices(batches):
-            for doc_id, text in zip(*batch.columns, strict=True):
-                doc_ids.append(doc_id.as_py())
-                coded.append(words.encode(text.as_py()) + end)
-                size += len(coded[-1]) // 4
+            payload = encode_ids(np.concatenate(coded))
+            return batch_of(_SEGMENTS, [[part], [number], [size], [doc_ids], [list(map(len, coded))], [payload]])
+
+        for batch in _of_texts(batches):
+            ids, counts = words.encode_all(batch.column(1))
+            stops = np.cumsum(counts)
+            ids, stops = np.insert(ids, stops, end_id), (stops + np.arange(1, len(stops) + 1)).tolist()
+            for doc_id, start, stop in zip(batch.column(0).to_pylist(), [0, *stops], stops):
+                doc_ids.append(doc_id)
+                coded.append(ids[start:stop])
+                size += stop - start
                 if size >= SEGMENT_IDS:
                     yield segment()
                     doc_ids, coded, size, number = [], [], 0, number + 1
@@ -387,12 +413,11 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             row = batch.to_pylist()[0]
-            ids = decode_ids(row["payload"])
+            ids = decode_ids(row["payload"]).astype("<u4", copy=False)
             counts = np.array(row["counts"], np.int64)
             ends = np.cumsum(counts)
-            each = [ids[end - n : end] for n, end in zip(counts.tolist(), ends.tolist(), strict=True)]
-            checks = [zlib.crc32(i.astype("<u4").tobytes()) for i in each]
-            n = len(each)
+            checks = [zlib.crc32(ids[end - n : end]) for n, end in zip(counts.tolist(), ends.tolist(), strict=True)]
+            n = len(checks)
             columns = [[row["part"]] * n, [row["segment"]] * n, row["doc_ids"], ends - counts, counts, checks]
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(np.concatenate(([0], ends)).astype(np.int32), ids.astype(np.int32)))

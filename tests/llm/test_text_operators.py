@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -200,6 +201,51 @@ def test_word_ids_are_the_librarys():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_are_given_to_the_library_together():
+    source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    library, words, calls = Tokenizer.from_str(source), idcoder.WordIds(source), []
+
+    class Counting:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(library, name)
+
+    words.tokenizer = Counting()
+    pick = np.random.default_rng(3)
+    plain = ["".join(pick.choice(list("abcdeXYZ"), 7)) for _ in range(3000)]
+    texts = [" ".join(plain[:2000]), "", " \n", ",\t".join(plain[1000:]), "a\x01b \x01 x\xa0y \xa0 \u0301e e\u0301 H\u0331 <|endoftext|> </w> I\u0307", "end."]
+    ids, counts = words.encode_all(pa.array(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == list(map(len, want))
+    assert len(calls) < 10
+    before = len(calls)
+    assert words.encode_all(pa.array(texts))[0].tolist() == ids.tolist() and len(calls) == before
+
+
+def test_texts_are_taken_in_slices(monkeypatch):
+    monkeypatch.setattr(idcoder, "TEXT_BYTES", 10)
+    texts = ["a" * n for n in (0, 3, 6, 40, 0, 9, 1, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    got = list(idcoder._of_texts(iter([batch.slice(0, 0), batch])))
+    assert pa.Table.from_batches(got).column("text").to_pylist() == texts
+    assert len(got) > 3 and all(sum(map(len, b.column(1).to_pylist()[1:])) < 10 for b in got)
+
+
+@pytest.mark.parametrize("length", [511, 512, 513, 20_001, 70_000])
+def test_lanes_share_what_a_block_has_learned(length, monkeypatch):
+    steps, step = [], idcoder._Model.step
+    monkeypatch.setattr(idcoder._Model, "step", lambda self, *args: (steps.append(1), step(self, *args))[1])
+    ids = (np.random.default_rng(length).zipf(1.3, length) % 500 * 90).astype(np.uint32)
+    coded = idcoder.encode_ids(ids)
+    assert len(steps) <= 512  # many ids a step
+    assert (idcoder.decode_ids(coded) == ids).all()
+    share = np.unique(ids, return_counts=True)[1] / length
+    assert length < 20_000 or len(coded) * 8 < 1.1 * length * -(share * np.log2(share)).sum()
+    with pytest.raises(ValueError):
+        idcoder.decode_ids(coded[:-3] + bytes([coded[-3] ^ 8]) + coded[-2:])
+    assert (idcoder.decode_ids(idcoder.encode_ids(ids, 1000)) == ids).all()
+
+
 def ppm_by_hand(streams, learned, order):
     counts = [collections.defaultdict(collections.Counter) for _ in range(order + 1)]
     for s, known in zip(streams, learned):

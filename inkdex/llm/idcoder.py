@@ -249,10 +249,11 @@ class WordIds(dict):
     The library's vocabulary drops nothing but white space and never joins words across it, so a text has
     the ids of its words. Words that are not remembered are given to the library, many as one text. Where
     they end there is told by the ids that close a piece, if words of letters have one piece each, or by a
-    mark of one id between them, which no word has that does not hold the mark itself.
+    mark of one id between them, which no word has that does not hold the mark itself. Letters and one
+    stop after them are looked up apart, if the vocabulary cuts there and has no added token with that stop.
     """
 
-    MARK = b"\x01"
+    MARK, STOPS = b"\x01", (b".", b",", b";", b":", b"!", b"?")
 
     def __init__(self, source: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
@@ -266,11 +267,16 @@ class WordIds(dict):
         mark = self.ids_of(self.MARK)
         if len(mark) == 1:
             self.marks[mark] = True
+        added = "".join(token.content for token in self.tokenizer.get_added_tokens_decoder().values())
+        cut = [s for s in self.STOPS if self.ids_of(b"word" + s).tolist() == [*self.ids_of(b"word"), *self.ids_of(s)]]
+        self.apart = frozenset(s for s in cut if s.decode() not in added)
 
     def ids_of(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
 
     def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in self.apart and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1:]]
         value = self[word] = self.ids_of(word).tobytes()
         return value
 
@@ -278,8 +284,10 @@ class WordIds(dict):
         """Remember the ids of words; what this leaves out is found one by one."""
         if len(self) > REMEMBERED:
             self.clear()
-        self._learn([w for w in words if w not in self and w.isalpha()], b" ", self.closes, 0)
-        self._learn([w for w in words if w not in self and self.MARK not in w], b" " + self.MARK + b" ", self.marks, 1)
+        new = {w[:-1] if w[-1:] in self.apart and w[:-1].isalpha() else w for w in words if w not in self}
+        new = [w for w in new if w not in self]
+        self._learn([w for w in new if w.isalpha()], b" ", self.closes, 0)
+        self._learn([w for w in new if w not in self and self.MARK not in w], b" " + self.MARK + b" ", self.marks, 1)
 
     def _learn(self, words: list[bytes], between: bytes, last: np.ndarray, extra: int) -> None:
         """``last`` tells the ids at which words end, the last ``extra`` of which are not the word's."""

@@ -222,6 +222,17 @@ def test_new_words_are_given_to_the_library_together():
     assert words.encode_all(pa.array(texts))[0].tolist() == ids.tolist() and len(calls) == before
 
 
+def test_letters_and_a_stop_are_looked_up_apart():
+    source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    more = Tokenizer.from_str(source)
+    more.add_tokens(["beta."])
+    text = "alpha beta. Beta, beta beta.. 1. . ,; can't. é. gamma! beta.x"
+    for own in (source, more.to_str()):
+        words = idcoder.WordIds(own)
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == Tokenizer.from_str(own).encode(text, add_special_tokens=False).ids
+        assert b"gamma" in words and b"gamma!" not in words and (b"." in words.apart) == (own is source)
+
+
 def test_texts_are_taken_in_slices(monkeypatch):
     monkeypatch.setattr(idcoder, "TEXT_BYTES", 10)
     texts = ["a" * n for n in (0, 3, 6, 40, 0, 9, 1, 1)]

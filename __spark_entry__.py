@@ -206,7 +206,7 @@ def postings_roundtrip(spark, sf_dir):
 
     def make():
         out = new_folder(spark, "postings")
-        ix.write_postings_text(ix.posting_blocks(_index(spark, sf_dir).postings), out)
+        ix.write_postings_text(ix.posting_blocks(_index(spark, sf_dir).postings), out, "gzip")
         return out
 
     rows = ix.read_postings_text(spark, _once(spark, sf_dir, "postings", make))
@@ -218,7 +218,7 @@ def _blocked_text(spark: SparkSession, sf_dir: str) -> str:
 
     def make():
         out = new_folder(spark, "blocked")
-        ix.write_postings_text(ix.posting_blocks(_index(spark, sf_dir).postings, 100), out)
+        ix.write_postings_text(ix.posting_blocks(_index(spark, sf_dir).postings, 100), out, "gzip")
         return out
 
     return _once(spark, sf_dir, "blocked", make)

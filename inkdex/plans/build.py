@@ -17,7 +17,7 @@ from inkdex.operators.index import normalize_tf, spread, term_frequencies, tfidf
 from inkdex.operators.parts import has_parts
 from inkdex.operators.positions import term_positions
 from inkdex.operators.postings import Index, shard_of
-from inkdex.session import settle
+from inkdex.session import freeing, settle
 from inkdex.sources.corpus import count_documents
 from inkdex.sources.stage_text import read_postings_text
 from inkdex.sources.store import CODEC, build_store
@@ -77,7 +77,7 @@ def build_index(
     if stage in ("all", "job3"):
         if not n_docs:
             raise ValueError("the number of documents must be given, and must not be zero")
-        runs.append(_write_postings(rows, out, n_docs, own=stage == "all"))
+        runs.append(_write_postings(rows, out, n_docs, stage == "all"))
     told = spark.createDataFrame([(r.stage, r.records_in, r.records_out, r.seconds) for r in runs], RUNS_SCHEMA)
     told.coalesce(1).write.mode("overwrite").parquet(f"{out}/{RUNS}")
     return runs
@@ -92,7 +92,8 @@ def _write_tokens(docs: DataFrame, path: str, whole: bool) -> StageRun:
     start = perf_counter()
     docs, read = _observed(docs)
     counts, written = _observed(term_frequencies(docs, whole))
-    counts.write.mode("overwrite").option(*CODEC).parquet(path)
+    with freeing(docs.sparkSession):
+        counts.write.mode("overwrite").option(*CODEC).parquet(path)
     return StageRun("job1", read.get["rows"], written.get["rows"], perf_counter() - start)
 
 
@@ -113,7 +114,7 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int, own: bool = False) ->
     """
     start = perf_counter()
     spark = tf.sparkSession
-    vocabulary(tf, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
+    _write_vocabulary(tf, n_docs, out)
     terms = spark.read.parquet(f"{out}/{VOCABULARY}")
     n_postings, shards, groups = _sized(terms)
 
@@ -131,9 +132,15 @@ def _write_postings(tf: DataFrame, out: str, n_docs: int, own: bool = False) ->
     return StageRun("job3", n_postings, written.get["rows"], perf_counter() - start)
 
 
+def _write_vocabulary(tf: DataFrame, n_docs: int, out: str) -> None:
+    with freeing(tf.sparkSession):
+        vocabulary(tf, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
+
+
 def _sized(terms: DataFrame) -> tuple[int, int, int]:
     """Postings of a stored vocabulary, and the shards and groups of terms that hold them."""
-    n_postings = terms.agg(F.sum("df")).first()[0] or 0
+    with freeing(terms.sparkSession):
+        n_postings = terms.agg(F.sum("df")).first()[0] or 0
     return n_postings, *_divided(terms.sparkSession, n_postings)
 
 
@@ -155,7 +162,7 @@ def import_index(spark: SparkSession, path: str, out: str, n_docs: int | None =
         raise ValueError(f"no postings in {path}")
     if n_docs is None:
         n_docs = count_documents(rows).first().n_docs
-    vocabulary(rows, n_docs).orderBy("term").write.mode("overwrite").parquet(f"{out}/{VOCABULARY}")
+    _write_vocabulary(rows, n_docs, out)
     _, shards, groups = _sized(spark.read.parquet(f"{out}/{VOCABULARY}"))
     _lay_out(rows, shards, groups, ["term", "doc_id"], f"{out}/{POSTINGS}")
     _write_layout(spark, out, n_docs, shards)
@@ -237,7 +244,8 @@ def _lay_out(rows: DataFrame, shards: int, groups: int, order: list[str], path:
     lot = shard_of(F.col("term"), shards) * groups + F.pmod(F.hash("term"), F.lit(groups))
     placed = rows.drop(*more).withColumn("lot", lot).hint("rebalance", "lot")
     laid_out = placed.withColumn("shard", F.floor(F.col("lot") / groups).cast("int")).drop("lot").sortWithinPartitions("shard", *order)
-    laid_out.select(*columns, "shard").write.partitionBy("shard").mode("overwrite").option(*CODEC).parquet(path)
+    with freeing(rows.sparkSession):
+        laid_out.select(*columns, "shard").write.partitionBy("shard").mode("overwrite").option(*CODEC).parquet(path)
 
 
 def build_positions(docs: DataFrame, out: str) -> StageRun:

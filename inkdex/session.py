@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,6 +13,9 @@ from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Spark's setting to remove the files of an execution's exchanges when it ends.
+FREE_EXCHANGES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Measured size up to which a stored table is broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -36,6 +41,24 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/inkdex-{spark.sparkContext.applicationId}/{purpose}-{uuid4().hex}"
 
 
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Within it, what jobs exchanged is removed from the disks as soon as their result is stored or collected.
+
+    Otherwise it stays until the driver happens to collect its objects, so that a build of many steps holds the exchanges of all of
+    them at once. For DataFrames that are executed once.
+    """
+    before = spark.conf.get(FREE_EXCHANGES, None)
+    spark.conf.set(FREE_EXCHANGES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_EXCHANGES)
+        else:
+            spark.conf.set(FREE_EXCHANGES, before)
+
+
 def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
     """Write a DataFrame to the shared folder and read it back.
 
@@ -43,7 +66,8 @@ def settle(df: DataFrame, purpose: str = "settled") -> DataFrame:
     planner the true size of the data, so that what is broadcast is decided by that size.
     """
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with freeing(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

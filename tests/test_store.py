@@ -1,6 +1,8 @@
 """Documents stored by id, against the table they were stored from."""
 
+import os
 import random
+import time
 
 import pytest
 from conftest import ordered, rows
@@ -10,6 +12,7 @@ from test_search import PHRASE
 import inkdex as ix
 from inkdex import session
 from inkdex.plans import build as build_module
+from inkdex.sources import stage_text
 from inkdex.sources import store as store_module
 
 
@@ -228,3 +231,35 @@ def test_a_failed_build_leaves_the_index_as_it_is(spark, docs, tmp_path, monkeyp
     assert rows(ix.load_store(spark, first).fetch(["1"]), "doc_id") == [("1",)]
     ix.publish_snapshot(spark, out, first)
     assert ix.current_snapshot(spark, out) == first
+
+
+def test_entries_of_an_export_are_exchanged_only_where_they_compete(spark, tmp_path):
+    """Exports of ids of each type as they were written need no exchange; terms whose blocks, lines or entries repeat a document do."""
+    for kind in ("string", "bigint", "int"):
+        rows_ = spark.range(300).select(F.lit("w").alias("term"), F.col("id").cast(kind).alias("doc_id"), (F.col("id") / 7).alias("tfidf"))
+        blocks = ix.posting_blocks(rows_.withColumn("df", F.lit(300).cast("bigint")), 50)
+        ix.write_postings_text(blocks, f"{tmp_path}/{kind}", "gzip")
+        assert all(name.endswith(".gz") for name in os.listdir(f"{tmp_path}/{kind}") if name.startswith("part-"))
+        found, plain = stage_text.postings_of_text(spark, f"{tmp_path}/{kind}")
+        assert plain and rows(found) == rows(rows_.withColumn("doc_id", F.col("doc_id").cast("string")))
+        assert "ShuffleExchange" not in _after_running(found)
+    lines = ["a\t1:0.5,2:0.25", "b\t1:1.0,1:2.0", "c\t1:1.0,2:1.0\t0/2", "c\t1:3.0\t1/2", "d\t1:1.0", "d\t2:1.0", "e\t5:1.0\t3/0", "f\t1:2.0\t7/1"]
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "t").write_text("\n".join(lines))
+    found, plain = stage_text.postings_of_text(spark, f"{tmp_path}/odd")
+    hashes = {r.term_hash for r in stage_text._contested(stage_text._posting_lines(spark, f"{tmp_path}/odd")).collect()}
+    named = {r.term for r in spark.createDataFrame([(t,) for t in "abcdef"], "term string").collect() if xxhash(spark, r.term) in hashes}
+    assert not plain and {"b", "c", "d"} <= named and "a" not in named
+    want = [("a", "1", 0.5), ("a", "2", 0.25), ("b", "1", 2.0), ("c", "1", 3.0), ("c", "2", 1.0), ("d", "2", 1.0), ("e", "5", 1.0), ("f", "1", 2.0)]
+    assert rows(found) == want
+
+
+def xxhash(spark, text):
+    return spark.range(1).select(F.xxhash64(F.lit(text))).first()[0]
+
+
+def _after_running(df):
+    """Plan of a DataFrame as adaptive execution left it."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]

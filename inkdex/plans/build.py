@@ -19,7 +19,7 @@ from inkdex.operators.positions import term_positions
 from inkdex.operators.postings import Index, shard_of
 from inkdex.session import freeing, settle
 from inkdex.sources.corpus import count_documents
-from inkdex.sources.stage_text import read_postings_text
+from inkdex.sources.stage_text import postings_of_text
 from inkdex.sources.store import CODEC, build_store
 
 # Stages and the folder each one writes.
@@ -156,12 +156,17 @@ def import_index(spark: SparkSession, path: str, out: str, n_docs: int | None =
     corpus, if it is known, and else that of the documents that have a posting. An id that is not of ``id_type`` is an error, and
     so is a text without any posting. Such an index is searched like any other; bounds and positions need more than it has.
     """
-    rows = read_postings_text(spark, path)
-    rows = settle(rows.withColumn("doc_id", F.col("doc_id").cast(id_type)), "imported")
-    if rows.isEmpty():
+    rows, plain = postings_of_text(spark, path)
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast(id_type))
+    if not plain:
+        rows = settle(rows, "imported")
+    # Read for all ids before anything is replaced.
+    seen = F.max(F.xxhash64("doc_id")) if n_docs is not None else F.count_distinct("doc_id")
+    with freeing(spark):
+        first = rows.agg(seen.alias("seen"), F.count(F.lit(1)).alias("n")).first()
+    if not first.n:
         raise ValueError(f"no postings in {path}")
-    if n_docs is None:
-        n_docs = count_documents(rows).first().n_docs
+    n_docs = first.seen if n_docs is None else n_docs
     _write_vocabulary(rows, n_docs, out)
     _, shards, groups = _sized(spark.read.parquet(f"{out}/{VOCABULARY}"))
     _lay_out(rows, shards, groups, ["term", "doc_id"], f"{out}/{POSTINGS}")

@@ -263,3 +263,30 @@ def _after_running(df):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan.split("== Initial Plan ==")[0]
+
+
+def test_exchanges_do_not_outlive_what_is_stored(spark, docs, tmp_path, monkeypatch):
+    """Exchanges of an import are removed step by step, nothing of it is stored twice, and the setting is as before."""
+    before = spark.conf.get(session.FREE_EXCHANGES, None)
+    seen = []
+    settle = build_module.settle
+    monkeypatch.setattr(build_module, "settle", lambda df, purpose="settled": seen.append(purpose) or settle(df, purpose))
+    ix.build_index(docs, f"{tmp_path}/own", n_docs=3)
+    blocks = ix.posting_blocks(spark.read.parquet(f"{tmp_path}/own/tfidf"), 1)
+    ix.write_postings_text(blocks, f"{tmp_path}/text")
+    held = _exchange_files(spark)
+    ix.import_index(spark, f"{tmp_path}/text", f"{tmp_path}/index")
+    for _ in range(50):  # removed by a thread of its own
+        if _exchange_files(spark) <= held:
+            break
+        time.sleep(0.2)
+    assert _exchange_files(spark) <= held and "imported" not in seen
+    assert spark.conf.get(session.FREE_EXCHANGES, None) == before
+    want = [(r.term, r.doc_id) for r in ix.load_index(spark, f"{tmp_path}/own").postings.orderBy("term", "doc_id").collect()]
+    assert want == [(r.term, r.doc_id) for r in ix.load_index(spark, f"{tmp_path}/index").postings.orderBy("term", "doc_id").collect()]
+
+
+def _exchange_files(spark):
+    """Files of exchanges on the disks of a local session."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return sum(os.path.basename(file).startswith("shuffle_") for file in files.split("\n"))

@@ -48,11 +48,11 @@ def join_at_documents(rows: DataFrame, wanted: DataFrame, few: bool) -> DataFram
     these documents are exchanged; both sides are exchanged as they are only if not even the ids fit a broadcast.
     """
     if few:
-        return rows.join(F.broadcast(wanted), ["term", "doc_id"])
+        return rows.join(session.side(wanted, few), ["term", "doc_id"])
     ids, few_ids = session.settle_sized(wanted.select("doc_id").distinct(), "ids")
     if few_ids:
         rows = rows.join(F.broadcast(ids), "doc_id", "left_semi")
-    return rows.join(wanted, ["term", "doc_id"])
+    return rows.join(session.side(wanted, few), ["term", "doc_id"])
 
 
 # Rows per side and key that one group of a join by blocks holds.

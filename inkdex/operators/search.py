@@ -17,7 +17,7 @@ from inkdex.operators.joins import join_at_documents, join_blocks, join_by_weigh
 from inkdex.operators.parts import has_parts, part_matches
 from inkdex.operators.positions import BLOCK_TOKENS, phrase_starts, starts_of, term_positions
 from inkdex.operators.postings import Index
-from inkdex.session import settle, settle_sized
+from inkdex.session import settle, settle_sized, side
 from inkdex.sources.store import DocumentStore
 
 # Postings of the rarest term of a query up to which they are broadcast: 64 MB for ids of 300 bytes.
@@ -183,13 +183,15 @@ def phrase_search_batch(
         best = _standing_together(index.positions_near(terms, few), phrases)
     elif has_parts(docs):
         found = phrases.select("doc_id").distinct()
-        texts = docs.join(F.broadcast(found) if small else found, "doc_id", "left_semi")
+        texts = docs.join(side(found, small), "doc_id", "left_semi")
         best = _standing_together(settle(term_positions(texts), "positions"), phrases)
     else:
-        patterns = phrases.select("query_id", "doc_id", "score", phrase_pattern(F.col("terms")).alias("pattern"))
-        patterns = F.broadcast(patterns) if small else patterns
-        best = docs.select("doc_id", "text").join(patterns, "doc_id").where(F.expr("text rlike pattern"))
-        best = best.select("query_id", "doc_id", "score")
+        # Hits by themselves: with the pattern of its query each would take many times its size in a broadcast.
+        cut = queries.select("query_id", tokens(F.col("query")).alias("terms")).where(F.size("terms") > 1)
+        patterns, few = settle_sized(cut.select("query_id", phrase_pattern(F.col("terms")).alias("pattern")), "patterns")
+        wanted = side(phrases.select("query_id", "doc_id", "score"), small)
+        best = docs.select("doc_id", "text").join(wanted, "doc_id").join(side(patterns, few), "query_id")
+        best = best.where(F.expr("text rlike pattern")).select("query_id", "doc_id", "score")
     if limit is not None:
         best = _best(best, limit).drop("rank")
     words = hits.where("terms IS NULL").select("query_id", "doc_id", "score")
@@ -278,12 +280,12 @@ def _batch_hits(index: Index, asked: _Asked, allowed: DataFrame | None = None) -
     else:
         allowed, few = settle_sized(allowed, "allowed")
         # First by what any query allows of a term, where the postings lie; then by query.
-        lists = asked.known.select("query_id", "term").join(F.broadcast(allowed) if few else allowed, "query_id")
+        lists = asked.known.select("query_id", "term").join(side(allowed, few), "query_id")
         lists, few_lists = settle_sized(lists.select("term", "block").distinct(), "lists")
         postings = postings.withColumn("block", document_block(F.col("doc_len"), F.col("doc_id"), index.spread))
-        postings = postings.join(F.broadcast(lists) if few_lists else lists, ["term", "block"], "left_semi")
+        postings = postings.join(side(lists, few_lists), ["term", "block"], "left_semi")
         candidates = _candidates(postings.select("term", "doc_id", "tfidf", "block"), leads, few_leads)
-        candidates = candidates.join(F.broadcast(allowed) if few else allowed, ["query_id", "block"], "left_semi")
+        candidates = candidates.join(side(allowed, few), ["query_id", "block"], "left_semi")
     postings = postings.select("term", "doc_id", "tfidf")
     weighted = F.col("tfidf") * F.col("weight")
     part = F.named_struct(F.lit("pos"), "pos", F.lit("score"), weighted)

@@ -89,3 +89,11 @@ def settle_sized(df: DataFrame, purpose: str = "settled") -> tuple[DataFrame, bo
     row = sum((width(field) for field in df.schema), F.lit(8)).cast("bigint")
     stored = settle(df.observe(written, F.sum(row).alias("bytes")), purpose)
     return stored, (written.get["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def side(table: DataFrame, small: bool) -> DataFrame:
+    """A table of ``settle_sized`` as a side of a join: broadcast if it is small, and else exchanged.
+
+    Spark would go by the size of its files, which may be a hundredth of what the rows take in the driver's memory.
+    """
+    return F.broadcast(table) if small else table.hint("merge")

@@ -245,3 +245,24 @@ def test_join_at_documents_is_a_join(spark, monkeypatch, broadcast_bytes):
     expected = rows(left.join(right, ["term", "doc_id"]), "term", "doc_id", "l", "r")
     for few in (True, False):
         assert rows(joins.join_at_documents(left, right, few), "term", "doc_id", "l", "r") == expected
+
+
+def test_what_is_too_large_to_broadcast_is_not_broadcast_for_its_small_files(spark, monkeypatch):
+    """Spark goes by the size of files; of equal rows that is far less than what they take in the driver's memory."""
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 1 << 16)
+    postings = spark.range(50).selectExpr("'of' AS term", "id AS doc_id", "0.5D AS tfidf")
+    wanted = spark.range(20_000).selectExpr("id % 50 AS query_id", "'of' AS term", "id % 50 AS doc_id")
+    stored, few = session.settle_sized(wanted, "pairs")
+    met = joins.join_at_documents(postings, stored, few)
+    assert not few and "SortMergeJoin [term" in met._jdf.queryExecution().executedPlan().toString()
+    assert met.count() == 20_000
+
+
+def test_hits_are_broadcast_without_their_patterns(spark, index, docs):
+    """The pattern of a query is sent once, not with each of its hits."""
+    queries = spark.createDataFrame([(1, "wizard of oz"), (2, "the oz"), (3, "oz")], "query_id bigint, query string")
+    found = ix.phrase_search_batch(index, docs, queries)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "array_join" not in plan
+    want = [(q, r.doc_id) for q, query in ((1, "wizard of oz"), (2, "the oz"), (3, "oz")) for r in ix.phrase_search(index, docs, query).collect()]
+    assert sorted((r.query_id, r.doc_id) for r in found.collect()) == sorted(want) and len(want) > 2

@@ -140,6 +140,27 @@ def _edges_of_lists(max_bits: int):
     return run
 
 
+def chosen_positions(max_bits: int = MAX_BITS) -> list[tuple[int, ...]]:
+    """Sets of byte positions, of which any two fingerprints of at most ``max_bits`` differing bits agree at one set or more."""
+    if not 0 <= max_bits <= 5:
+        raise ValueError("max_bits must be between 0 and 5")
+    positions = range(min(max_bits + 3, BYTES))
+    return list(combinations(positions, BYTES - max_bits - (BYTES - len(positions))))
+
+
+def _keyed(prints: DataFrame, bits: str, max_bits: int, *columns: str) -> DataFrame:
+    """(*columns, key): a row for each list that a fingerprint in the column ``bits`` belongs to; a key tells the number of its positions and the bytes there."""
+
+    def key(number: int, chosen: tuple[int, ...]):
+        packed = F.lit(number).cast("bigint")
+        for p in chosen:
+            packed = F.shiftleft(packed, 8).bitwiseOR(F.shiftrightunsigned(bits, 8 * p).bitwiseAND(F.lit(0xFF)))
+        return packed
+
+    keys = F.array(*(key(n, c) for n, c in enumerate(chosen_positions(max_bits))))
+    return prints.select(*columns, F.explode(keys).alias("key"))
+
+
 def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) of at most ``max_bits`` differing bits.
 
@@ -151,20 +172,7 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     are dropped, the others are checked bit by bit. A list too long for one task is cut into blocks, and each pair
     of blocks is a list of its own, so nothing is left out.
     """
-    if not 0 <= max_bits <= 5:
-        raise ValueError("max_bits must be between 0 and 5")
-    positions = range(min(max_bits + 3, BYTES))
-    shared = BYTES - max_bits - (BYTES - len(positions))
-    byte = [F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(0xFF)) for p in positions]
-
-    def key(number: int, chosen: tuple[int, ...]):
-        packed = F.lit(number).cast("bigint")
-        for p in chosen:
-            packed = F.shiftleft(packed, 8).bitwiseOR(byte[p])
-        return packed
-
-    keys = F.array(*(key(n, c) for n, c in enumerate(combinations(positions, shared))))
-    rows = distinct.select("fp", F.explode(keys).alias("key"))
+    rows = _keyed(distinct, "fp", max_bits, "fp")
     lengths = settle(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "lists")
     total = lengths.agg(F.sum("n")).first()[0] or 0
     block = max(BLOCK_ROWS, total // LONG_LISTS)
@@ -195,6 +203,23 @@ def simhash_classes(docs: DataFrame, max_bits: int = MAX_BITS, shingle_words: in
     return components_of(rows, classes, fingerprint_links(classes.select("fp"), max_bits))
 
 
+def lists_between(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(list, number, bits, fp, component): of the lists of ``prints`` (bits, fp, component) those of several components, long ones cut into blocks.
+
+    Two rows within ``max_bits`` of each other share a list, and first that whose ``number`` is that of the first positions they agree at.
+    """
+    columns = ["bits", "fp", "component"]
+    rows = _keyed(prints, "bits", max_bits, *columns)
+    several = [F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most")]
+    lengths = settle(rows.groupBy("key").agg(*several).where("least <> most").select("key", "n"), "lists")
+    cut = join_by_weight(rows, lengths, "key", "n").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    width = 8 * len(chosen_positions(max_bits)[0])
+    cut = cut.select(*columns, "key", F.shiftright("key", width).alias("number"), own.alias("own"), other.alias("other"))
+    return cut.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("list"), "number", *columns)
+
+
 def components_of(rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     """(doc_id, tag, fp, component, component_id) per row of ``rows`` (doc_id, tag, fp).
 

@@ -129,3 +129,29 @@ def test_only_links_leave_the_lists_of_several_components():
     sizes, groups = np.array([len(s) for s in sets]), np.arange(len(sets))
     found = [(one, others.tolist()) for band in range(shingles.BANDS) for one, others in shingles._between(band, signs, sizes, groups, sets, 0.8)]
     assert [(one, others) for one, others in found if others] == [(7, [199])]
+
+
+def test_pairs_that_simhash_proposes_are_all_decided(spark, monkeypatch):
+    """All fingerprints are equal, which one tree of links connects; the alike pair is not on it."""
+    texts = [" ".join(f"w{n}_{k}" for k in range(60)) for n in range(30)]
+    rows = [*enumerate(texts), (100, f"{texts[7]} end"), (101, f"{texts[11]} end")]
+    monkeypatch.setattr(shingles, "bands_of", lambda minima: [])
+    monkeypatch.setattr(shingles, "fingerprint", lambda text: 5)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in shingles.shingle_classes(docs).collect()}
+    assert found == {**{n: n for n in range(30)}, 100: 7, 101: 11}
+
+
+def test_sets_decide_whatever_share_of_the_minima_is_equal():
+    """A list of a band holds those whose signatures agree there, and no estimate stands between them and their sets."""
+    minima = shingles.minima_of(shingles.shingle_set(" ".join(f"w{k}" for k in range(50))))
+    assert shingles.bands_of(minima) == shingles.bands_of(minima ^ np.uint64(1))
+    base = [f"b{k}" for k in range(300)]
+    sets = [shingles.shingle_set(" ".join(words)) for words in (base, [*base, "x"], [*base[:250], *(f"y{k}" for k in range(50))], [f"z{k}" for k in range(300)])]
+    signs = np.arange(4, dtype=np.uint8)[:, None].repeat(shingles.BANDS * shingles.ROWS, axis=1)
+    signs[:, 10:15] = 9  # they share band 2 alone
+    sizes = np.array([len(s) for s in sets])
+    found = [[(one, others.tolist()) for one, others in shingles._between(band, signs, sizes, np.arange(4), sets, 0.8)] for band in (0, 2)]
+    assert found == [[], [(1, [0])]] or found == [[], [(0, [1])]]
+    tallies = shingles._tallies(sets, sizes)
+    assert shingles._may_share(tallies, sizes, 0, np.array([1, 2, 3]), 0.8).tolist()[0] and not shingles._may_share(tallies, sizes, 0, np.array([3]), 0.8)[0]
